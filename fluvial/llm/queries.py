@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluvial.llm import mixing, token_counts
+from fluvial.llm import mixing, simhash, token_counts, top_k
 from fluvial.llm.common import materialize
 
 
@@ -26,5 +26,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op9_token_counts)}
-ORACLES = {"op2_mix_sources": mixing.ORACLE}
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: the five best other vectors of every vector whose id is divisible by 50."""
+    return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint, component_id of every document."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
+ORACLES = {"op2_mix_sources": mixing.ORACLE, "op8_exact_top_k": top_k.ORACLE}
