@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluvial.llm import mixing, simhash, token_counts, top_k
+from fluvial.llm import language_id, mixing, simhash, token_counts, top_k
 from fluvial.llm.common import materialize
 
 
@@ -26,6 +26,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document; learned from the documents that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    training = language_id.is_training()
+    model = language_id.fit(docs.where(training))
+    found = language_id.identify(docs.select("doc_id", "text", (~training).alias("held_out")), model, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: the five best other vectors of every vector whose id is divisible by 50."""
     return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -37,5 +46,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_language_id, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
 ORACLES = {"op2_mix_sources": mixing.ORACLE, "op8_exact_top_k": top_k.ORACLE}
