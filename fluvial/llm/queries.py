@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluvial.llm import language_id, mixing, simhash, token_counts, top_k
+from fluvial.llm import decontaminate, language_id, mixing, simhash, token_counts, top_k
 from fluvial.llm.common import materialize
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, n_shingles, n_matched, containment of every benchmark item inside a document."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -46,5 +51,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op5_language_id, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
-ORACLES = {"op2_mix_sources": mixing.ORACLE, "op8_exact_top_k": top_k.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op5_language_id, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
+ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op2_mix_sources": mixing.ORACLE, "op8_exact_top_k": top_k.ORACLE}
