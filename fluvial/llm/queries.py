@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluvial.llm import decontaminate, language_id, mixing, simhash, token_counts, top_k
+from fluvial.llm import decontaminate, language_id, line_dedup, mixing, simhash, token_counts, top_k
 from fluvial.llm.common import materialize
 
 
@@ -40,6 +40,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, line_no, group_doc_id, group_line_no, kept of every occurrence of a repeated line."""
+    return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """query_id, rank, vec_id, score: the five best other vectors of every vector whose id is divisible by 50."""
     return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -51,5 +56,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op5_language_id, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_mix_sources, op5_language_id, op6_line_dedup, op8_exact_top_k, op9_token_counts, op10_simhash_near_dedup)}
 ORACLES = {"op1_decontaminate": decontaminate.ORACLE, "op2_mix_sources": mixing.ORACLE, "op8_exact_top_k": top_k.ORACLE}

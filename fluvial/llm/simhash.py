@@ -206,3 +206,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, most: int = MOST_BITS)
 
 def as_hex(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, most: int = MOST_BITS) -> DataFrame:
+    """The rows of docs whose doc_id is their component's; rows that share an id are one document and stay together."""
+    found = near_duplicates(docs, width, most)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(kept["nd_id"]), "left_semi")
