@@ -40,7 +40,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     """sizes(src_null, src, source_size), a row for each source, with target added.
 
     Sources ordered by cap / weight fill up one after the other as the common level rises. The level that uses up the
-    total is (total - caps before) / (weights from here on) at the first source that it does not fill.
+    total is (total - caps before) / (weights from here on) at the first source that it does not fill; for those that follow
+    this quotient only falls, so the level is its maximum over the sources that it does not fill.
     """
     n = F.row_number().over(W.orderBy("src_null", "src")) - 1
     by_weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (n % len(weights) + 1).cast("int"))
@@ -53,7 +54,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
             "open": F.sum("weight").over(rising.rowsBetween(0, W.unboundedFollowing)),
         }
     ).withColumn("level", (F.col("total") - F.col("before")) / F.col("open"))
-    first = F.min(F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level"))).over(W.partitionBy())
+    first = F.max(F.when(F.col("level") <= F.col("most") / F.col("weight"), F.col("level"))).over(W.partitionBy())
     return s.withColumn("target", F.least("most", first * F.col("weight"))).select("src_null", "src", "source_size", "target")
 
 
@@ -116,7 +117,7 @@ s1 AS (SELECT *, ([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE])[((row_number() OVER (
 s2 AS (SELECT *, coalesce(sum(most) OVER (ORDER BY most / weight, src_null, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS before,
               sum(weight) OVER (ORDER BY most / weight, src_null, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM s1),
 s3 AS (SELECT *, (total - before) / open AS level FROM s2),
-s4 AS (SELECT *, min(CASE WHEN level <= most / weight THEN level END) OVER () AS first FROM s3),
+s4 AS (SELECT *, max(CASE WHEN level <= most / weight THEN level END) OVER () AS first FROM s3),
 s5 AS (SELECT src_null, src, source_size, least(most, first * weight) AS target FROM s4),
 s6 AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
               ('0x' || substr(md5('mix|' || CASE WHEN src_null THEN '-' ELSE '+' END || src), 1, 5))::BIGINT / 1048576.0::DOUBLE AS off FROM s5),
