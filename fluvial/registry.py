@@ -6,5 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fluvial.plans import network
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+for _module in (network,):
+    QUERIES |= _module.register.queries
+    ORACLES |= _module.register.oracles
