@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fluvial.plans import keyed, network
+from fluvial.plans import keyed, network, zonal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (network, keyed):
+for _module in (network, keyed, zonal):
     QUERIES |= _module.register.queries
     ORACLES |= _module.register.oracles
