@@ -74,7 +74,8 @@ def reservoir_hydraulics(dams: DataFrame, *, strict_parity: bool = True, use_haz
         "H_m": height, "LkArea": area, "LkMxE": max_e, "WeirC": weir_c, "WeirL": weir_l, "WeirE": weir_e, "OrificeC": orifice_c, "OrificeA": orifice_a,
         "OrificeE": orifice_e, "Dam_Length": dam_l, "ifd": F.coalesce(num["ifd"], F.lit(IFD)),
     }
-    return dams.select(*(F.col(f"`{c}`") for c in dams.columns if c not in out), *(v.alias(k) for k, v in out.items()))
+    taken = {k.lower() for k in out}  # names differ by more than case: dam_length gives way to Dam_Length
+    return dams.select(*(F.col(f"`{c}`") for c in dams.columns if c.lower() not in taken), *(v.alias(k) for k, v in out.items()))
 
 
 #: Fixed values by Strahler order, 1 to 10: Manning's n, channel side slope, bottom width.
