@@ -172,3 +172,15 @@ def chain_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "event_type", "ts", "value")
     links = e.withColumn("down", F.lead("id").over(W.partitionBy("event_type").orderBy("ts", "id")))
     return graph.to_outlet(links, F.col("value")).select(F.col("id").alias("event_id"), "depth", F.round("path", 3).alias("path_value"))
+
+
+@register("net_simplify")
+def net_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of all reaches; orders and divides come from the parts' network and sizes. The machine has no SQL; its invariants are tested."""
+    from fluvial.operators import simplify
+
+    r = reaches(spark, sf_dir)
+    walked, order = graph.to_outlet(r), graph.stream_order(r)
+    rows = r.join(walked.select("id", "outlet_id"), "id").join(order, "id")
+    rows = rows.select("outlet_id", "id", "down", "stream_order", "area", (F.col("length") / 10).alias("length"), (F.col("length") % 7 != 0).alias("has_divide"))
+    return simplify.classify(rows)
