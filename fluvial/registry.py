@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fluvial.plans import keyed, network, scalars, spatial, zonal
+from fluvial.plans import keyed, network, scalars, spatial, streams, zonal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (network, keyed, zonal, scalars, spatial):
+for _module in (network, keyed, zonal, scalars, spatial, streams):
     QUERIES |= _module.register.queries
     ORACLES |= _module.register.oracles
