@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker unpacks at once.
 SLICE_BYTES = 2 << 20
+#: Rows of a batch that goes to a Python worker.
+BATCH_ROWS = 1_000
 #: Entries at which a worker's word cache starts anew.
 CACHE_WORDS = 400_000
 _written: list[tuple[SparkSession, str]] = []
@@ -56,6 +58,13 @@ def _drop_written() -> None:
             return
 
 
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let this session hand Python workers at most so many rows at once: with texts, the default 10,000 fill an executor."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

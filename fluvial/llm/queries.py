@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluvial.llm import decontaminate, language_id, line_dedup, mixing, quality, simhash, substring_dedup, token_counts, top_k, url_filter
-from fluvial.llm.common import materialize
+from fluvial.llm.common import bounded_batches, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "documents":
+        bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
