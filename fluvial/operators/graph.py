@@ -7,6 +7,9 @@ each cut from its lineage by a written table. Null ids are dropped; a downstream
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -98,12 +101,38 @@ def upstream_sums(values: DataFrame, columns: list[str], tables: list[DataFrame]
     return state
 
 
-def stream_order(forest: DataFrame, tables: list[DataFrame] | None = None) -> DataFrame:
+def stream_order(forest: DataFrame, tables: list[DataFrame] | None = None, by_level: bool | None = None) -> DataFrame:
     """id, stream_order (Strahler) of every row of forest(id, down).
 
-    An order over k means that somewhere upstream, or here, two branches of order k or more meet. So one round for each order
-    marks those confluences and carries the marks downstream; orders grow with the logarithm of a basin's size.
+    Shallow networks go level by level from the deepest: one round a level. In deep ones an order over k means that somewhere upstream, or here, two
+    branches of order k or more meet, so a round for each order marks those confluences and carries the marks downstream by doubling. Which takes
+    fewer rounds is read off the depth and size; the result is the same.
     """
+    walked = materialize(forest.select("id", "down").join(to_outlet(forest).select("id", "depth"), "id"), "order-depths")
+    size = walked.agg(F.max("depth").alias("deepest"), F.count("*").alias("n")).first()
+    if not size.n:
+        return walked.select("id", F.lit(1).alias("stream_order"))
+    if by_level is None:
+        by_level = size.deepest <= math.log2(size.n + 1) * math.log2(size.deepest + 2) / 2
+    return _orders_by_level(walked, size.deepest) if by_level else _orders_by_marks(forest, tables)
+
+
+def _orders_by_level(walked: DataFrame, deepest: int) -> DataFrame:
+    levels: list[DataFrame] = []
+    for d in range(deepest, -1, -1):
+        here = walked.where(F.col("depth") == d)
+        if levels:
+            alike = levels[-1].groupBy("down", "stream_order").count()
+            top = alike.groupBy(F.col("down").alias("at")).agg(F.max("stream_order").alias("most"), F.max_by("count", "stream_order").alias("times"))
+            order = F.coalesce(F.col("most") + F.when(F.col("times") > 1, 1).otherwise(0), F.lit(1))
+            here = here.join(top, here["id"] == top["at"], "left").select("id", "down", order.alias("stream_order"))
+        else:
+            here = here.select("id", "down", F.lit(1).alias("stream_order"))
+        levels.append(materialize(here, f"level-{d}"))
+    return reduce(DataFrame.union, levels).select("id", "stream_order")
+
+
+def _orders_by_marks(forest: DataFrame, tables: list[DataFrame] | None) -> DataFrame:
     tables = jump_tables(forest) if tables is None else tables
     orders = materialize(forest.where("id IS NOT NULL").select("id", "down", F.lit(1).alias("stream_order")), "orders-1")
     k = 1

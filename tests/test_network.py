@@ -56,7 +56,8 @@ def test_walks_sums_orders_and_stems_of_a_random_forest(spark):
         order[i] = (max(o) + (o.count(max(o)) > 1)) if o else 1
     tables = graph.jump_tables(f)
     assert {r.id: r.w for r in graph.upstream_sums(f, ["w"], tables).collect()} == total
-    assert {r.id: r.stream_order for r in graph.stream_order(f, tables).collect()} == order
+    for by_level in (None, True, False):
+        assert {r.id: r.stream_order for r in graph.stream_order(f, tables, by_level).collect()} == order
     reaches = spark.createDataFrame([(i, down[i], order[i], total[i]) for i in down], "id long, down long, stream_order int, total_area double")
     head = {}
     for i in sorted(down):
