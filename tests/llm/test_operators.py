@@ -257,7 +257,7 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == edit(a, b)
 
 
-def test_repeated_lines_against_brute_force(spark):
+def test_repeated_lines_against_brute_force(spark, monkeypatch):
     rnd = random.Random(2)
     base = [" ".join(words(rnd, rnd.randrange(2, 60))) for _ in range(30)]
 
@@ -294,6 +294,9 @@ def test_repeated_lines_against_brute_force(spark):
     key = lambda o: (o[0] is not None, o[0] or 0, o[1])
     want = {(a, k, *min(g, key=key), (a, k) == min(g, key=key)) for g in groups.values() if len(g) > 1 for a, k in g}
     assert {tuple(r) for r in line_dedup.repeated_lines(df).collect()} == want
+    monkeypatch.setattr(line_dedup, "LIGHT_GROUP", 3)  # so that groups are split
+    monkeypatch.setattr(line_dedup, "TEXT_GROUP", 3)
+    assert {tuple(r) for r in line_dedup.repeated_lines(df).collect()} == want
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, drop_emptied=False).collect()}
     for i, text in docs:
         drop = {k for a, k, _, _, kept in want if a == i and not kept and i is not None}
