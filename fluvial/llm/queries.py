@@ -54,7 +54,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, line_no, group_doc_id, group_line_no, kept of every occurrence of a repeated line."""
-    return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"))
+    return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"), most_bits=None)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
