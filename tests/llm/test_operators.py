@@ -257,49 +257,84 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == edit(a, b)
 
 
-def test_repeated_lines_against_brute_force(spark, monkeypatch):
+def test_similar_is_the_edit_similarity():
+    rnd = random.Random(4)
+    for _ in range(400):
+        w = words(rnd, rnd.randrange(1, 9))
+        v = [x for x in w if rnd.random() < 0.9] + (["x"] if rnd.random() < 0.2 else [])
+        a, b = " ".join(w), " ".join(x if rnd.random() < 0.8 else x[::-1] for x in v)
+        assert line_dedup.similar(a, b) == (max(len(a), len(b)) == 0 or 1 - edit(a, b) / max(len(a), len(b)) >= 0.8 - 1e-9)
+
+
+def test_similar_tiny_lines_share_a_piece():
+    rnd, found = random.Random(7), 0
+    for _ in range(4000):
+        a = "".join(rnd.choice("ab cé") for _ in range(rnd.randrange(1, 26)))
+        b = list(a)
+        for _ in range(rnd.randrange(1, 6)):
+            k = rnd.randrange(len(b) + 1)
+            b[k : k + rnd.randrange(2)] = rnd.choice(["", "x", "a"])
+        b = "".join(b)[:25]
+        if b and 1 - edit(a, b) / max(len(a), len(b)) >= 0.8 - 1e-9:
+            found += 1
+            assert line_dedup.pieces_of(a) & line_dedup.pieces_of(b), (a, b)
+    assert found > 500
+
+
+def plain_groups(lines):
+    """Root of each line by plain edit similarity of all pairs, and the similar pairs."""
+    parent, pairs = list(range(len(lines))), []
+    for i, a in enumerate(lines):
+        for j in range(i):
+            b = lines[j]
+            longer = max(len(a), len(b))
+            if min(len(a), len(b)) >= 0.8 * longer - 1e-9 and sum((Counter(a) - Counter(b)).values()) <= 0.2 * longer + 1e-9 and 1 - edit(a, b) / longer >= 0.8 - 1e-9:
+                parent[find(parent, i)] = find(parent, j)
+                pairs.append((i, j))
+    return [find(parent, i) for i in range(len(lines))], pairs
+
+
+@pytest.mark.parametrize("most", [None, 3])
+def test_repeated_lines_against_plain_edit_similarity(spark, monkeypatch, most):
+    if most:  # so that blocks are dealt out
+        monkeypatch.setattr(line_dedup, "MOST", most)
+        monkeypatch.setattr(line_dedup, "FEW", most)
     rnd = random.Random(2)
-    base = [" ".join(words(rnd, rnd.randrange(2, 60))) for _ in range(30)]
+    base = [" ".join(words(rnd, n)) for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 11, 12, 15, 20, 30, 40) for _ in range(2)]
 
     def line():
         w = rnd.choice(base).split()
-        for _ in range(rnd.choice([0, 0, 1, 2])):
-            w[rnd.randrange(len(w))] = rnd.choice(WORDS)
+        for _ in range(rnd.choice([0, 0, 1, max(1, len(w) // 8)])):
+            k = rnd.randrange(len(w))
+            w[k] = rnd.choice([rnd.choice(WORDS), w[k][1:], w[k] + "e", ""])
         return rnd.choice([" ", "  "]).join(w) + rnd.choice(["", ".", "!"])
 
-    docs = [(i, "\n".join(line() if rnd.random() < 0.7 else " ".join(words(rnd, 20)) for _ in range(rnd.randrange(1, 10)))) for i in range(80)]
+    docs = [(i, "\n".join(line() if rnd.random() < 0.7 else " ".join(words(rnd, rnd.randrange(1, 20))) for _ in range(rnd.randrange(1, 5)))) for i in range(110)]
     docs += [(500, None), (501, ""), (502, "\n\n"), (503, "!!!"), (None, base[0])]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     where = defaultdict(list)
     for i, text in docs:
         for k, w in enumerate(line_dedup.normal_words(None if text is None else text.encode())):
             if w:
-                where[b" ".join(w)].append((i, k))
+                where[b" ".join(w).decode()].append((i, k))
     lines = list(where)
-
-    def sim(x):
-        h = [xxhash.xxh3_64_intdigest(w) for w in x.split()]
-        return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h)) if len(h) >= line_dedup.FUZZY_WORDS else None
-
-    sims, parent = [sim(x) for x in lines], list(range(len(lines)))
-    for i in range(len(lines)):
-        for j in range(i):
-            if None not in (sims[i], sims[j]) and (sims[i] ^ sims[j]).bit_count() <= 3:
-                a, b = lines[i].decode(), lines[j].decode()
-                if 1 - edit(a, b) / max(len(a), len(b)) >= 0.8:
-                    parent[find(parent, i)] = find(parent, j)
-    groups = defaultdict(list)
-    for i, x in enumerate(lines):
-        groups[find(parent, i)] += where[x]
-    key = lambda o: (o[0] is not None, o[0] or 0, o[1])
-    want = {(a, k, *min(g, key=key), (a, k) == min(g, key=key)) for g in groups.values() if len(g) > 1 for a, k in g}
-    assert {tuple(r) for r in line_dedup.repeated_lines(df).collect()} == want
-    monkeypatch.setattr(line_dedup, "LIGHT_GROUP", 3)  # so that groups are split
-    monkeypatch.setattr(line_dedup, "TEXT_GROUP", 3)
-    assert {tuple(r) for r in line_dedup.repeated_lines(df).collect()} == want
+    roots, pairs = plain_groups(lines)
+    got = {(r.doc_id, r.line_no): (r.group_doc_id, r.group_line_no, r.kept) for r in line_dedup.repeated_lines(df).collect()}
+    root_of = {o: roots[i] for i, x in enumerate(lines) for o in where[x]}
+    for o, (a, k, kept) in got.items():
+        assert root_of[o] == root_of[a, k]  # no group goes beyond the plain one
+        assert kept == (o == (a, k))
+    for i, x in enumerate(lines):  # equal lines are one, whatever their ids
+        if len(where[x]) > 1 or where[x][0] in got:
+            assert len({got[o][:2] for o in where[x]}) == 1
+    for short in (True, False):
+        some = [(i, j) for i, j in pairs if (min(len(lines[i].split()), len(lines[j].split())) < line_dedup.LONG_WORDS) == short]
+        assert len(some) > 30
+        together = [where[lines[i]][0] in got and got[where[lines[i]][0]][:2] == got.get(where[lines[j]][0], (0, 0))[:2] for i, j in some]
+        assert sum(together) >= 0.95 * len(some), short
     out = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, drop_emptied=False).collect()}
     for i, text in docs:
-        drop = {k for a, k, _, _, kept in want if a == i and not kept and i is not None}
+        drop = {k for (a, k), v in got.items() if a == i and not v[2] and i is not None}
         assert out[i] == (None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop))
 
 
