@@ -269,12 +269,12 @@ def test_similar_is_the_edit_similarity():
 def test_similar_tiny_lines_share_a_piece():
     rnd, found = random.Random(7), 0
     for _ in range(4000):
-        a = "".join(rnd.choice("ab cé") for _ in range(rnd.randrange(1, 26)))
+        a = "".join(rnd.choice("ab cé") for _ in range(rnd.randrange(1, 31)))
         b = list(a)
         for _ in range(rnd.randrange(1, 6)):
             k = rnd.randrange(len(b) + 1)
             b[k : k + rnd.randrange(2)] = rnd.choice(["", "x", "a"])
-        b = "".join(b)[:25]
+        b = "".join(b)[:30]
         if b and 1 - edit(a, b) / max(len(a), len(b)) >= 0.8 - 1e-9:
             found += 1
             assert line_dedup.pieces_of(a) & line_dedup.pieces_of(b), (a, b)
