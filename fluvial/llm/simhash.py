@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 fp = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(fp)], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _masks() -> list[list[int]]:
@@ -153,19 +153,26 @@ def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """From batches sorted by key: pieces that hold whole groups, with the start and size of each group."""
-    held: pa.RecordBatch | None = None
+    held: list[pa.RecordBatch] = []  # of one group that may go on
     for batch in batches:
-        if held is not None:
-            batch = pa.concat_batches([held, batch])
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        if not len(keys):
+        if not len(batch):
             continue
-        cut = int(np.searchsorted(keys, keys[-1]))  # the last group may go on
-        held = batch.slice(cut)
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if held and keys[0] != held[0].column(key)[0].as_py():
+            yield _grouped(held, key)
+            held = []
         if cut:
-            yield _groups(batch.slice(0, cut), keys[:cut])
-    if held is not None and len(held):
-        yield _groups(held, held.column(key).to_numpy(zero_copy_only=False))
+            yield _grouped([*held, batch.slice(0, cut)], key)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield _grouped(held, key)
+
+
+def _grouped(batches: list[pa.RecordBatch], key: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    batch = pa.concat_batches(batches) if len(batches) > 1 else batches[0]
+    return _groups(batch, batch.column(key).to_numpy(zero_copy_only=False))
 
 
 def _groups(batch: pa.RecordBatch, keys: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
@@ -212,4 +219,4 @@ def keep_one(docs: DataFrame, width: int = WIDTH, most: int = MOST_BITS) -> Data
     """The rows of docs whose doc_id is their component's; rows that share an id are one document and stay together."""
     found = near_duplicates(docs, width, most)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(kept["nd_id"]), "left_semi")
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["nd_id"]), "left_semi")

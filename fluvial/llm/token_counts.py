@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fluvial.llm.common import text_slices
 
@@ -155,4 +156,4 @@ def count_tokens(docs: DataFrame, *, name: str = "byte_bpe_50k.json", path: str
                     ["doc_id", "n_bytes", "n_tokens", "over_limit"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -7,15 +7,16 @@ that are left are visited best bound first, all queries of a round at once, and
 shared: from one shard of a task to the next, and by all tasks at the start, since each block of queries is scored on the
 driver against one bounded sample of vectors first, whose k-th score is a floor for the k-th score over all.
 
-Queries go in blocks of bounded size, so what is broadcast doesn't grow with the table.
+Queries go in blocks of bounded size, each broadcast by itself and matched in a scan of the shards, which are dealt out and written once.
 
 Scores are exact: components are whole numbers and sums are taken in doubles where every partial sum stays below 2 ** 53,
 else in 64-bit integers; a score that doesn't fit into a long is an error. Bounds are widened by a relative 1e-9, so rounding never
 drops a pair; equal scores go to the smaller id, since only bounds strictly under the k-th score are dropped.
 
 Vectors that are null or hold a null or non-finite component take no part, as query or candidate, nor do rows without an id.
-Shorter vectors count as padded with zeros; an empty vector is all zeros. Rows that repeat an id are each candidates for other
-ids, each query row is answered once for each id. Fewer candidates than k give all. Empty tables give empty results.
+Shorter vectors count as padded with zeros; an empty vector is all zeros. Rows are told apart by a number of their own: each row
+that repeats an id is a query, if its id is one, and a candidate for all others, its twins too. Of rows with equal ids and scores,
+either stands first. Fewer candidates than k give all. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fluvial.llm.common import partitions
+from fluvial.llm.common import materialize, partitions
 
 K = 5
 SCALE = 256
@@ -134,8 +135,8 @@ class Best:
         self.floor[rows[full]] = np.maximum(self.floor[rows[full]], self.score[rows[full], -1].astype(np.float64))
 
 
-def search_shard(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, best: Best) -> None:
-    """Improve best by the rows of one shard."""
+def search_shard(q: np.ndarray, q_rows: np.ndarray, x: np.ndarray, rows_x: np.ndarray, ids: np.ndarray, best: Best) -> None:
+    """Improve best by the rows of one shard, given with their numbers and ids."""
     tree = BallTree(x)
     bounds = tree.leaf_bounds(q, best.floor)
     visit = np.argsort(-bounds, axis=1)
@@ -149,13 +150,13 @@ def search_shard(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarra
         for rows in np.split(by_leaf, np.flatnonzero(np.diff(leaf[by_leaf])) + 1):
             s, e = leaves[leaf[rows[0]]]
             members = tree.order[s:e]
-            best.add(rows, products(q[rows], x[members]), ids[members], ids[members] != q_ids[rows, None])
+            best.add(rows, products(q[rows], x[members]), ids[members], rows_x[members] != q_rows[rows, None])
 
 
-def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, rows) of up to size queries each, streamed through the driver; one row for each id."""
+def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(numbers, ids, vectors) of up to size queries each, streamed through the driver."""
     held: list = []
-    for row in queries.dropDuplicates(["vec_id"]).toLocalIterator():
+    for row in queries.toLocalIterator():
         held.append(row)
         if len(held) == size:
             yield _block(held)
@@ -164,28 +165,29 @@ def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield _block(held)
 
 
-def _block(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    width = max(len(r.v) for r in rows)
-    return np.array([r.vec_id for r in rows], np.int64), np.array([list(r.v) + [0.0] * (width - len(r.v)) for r in rows]).reshape(len(rows), width)
+def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    width = max((len(r.v) for r in rows), default=0)
+    numbers, ids = np.array([r.row_no for r in rows], np.int64), np.array([r.vec_id for r in rows], np.int64)
+    return numbers, ids, np.array([list(r.v) + [0.0] * (width - len(r.v)) for r in rows]).reshape(len(rows), width)
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCALE, block: int = BLOCK, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of vectors(vec_id, embedding) for each row where is_query holds."""
     spark = vectors.sparkSession
-    rows = usable(vectors, scale)
-    seeds = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    s_ids, s_rows = _block(seeds) if seeds else (np.zeros(0, np.int64), np.zeros((0, 0)))
+    rows = usable(vectors, scale).repartition(partitions(spark)).withColumn("row_no", F.monotonically_increasing_id())
+    rows = materialize(rows, "shards")
+    s_numbers, s_ids, s_rows = _block(rows.orderBy(F.xxhash64("vec_id"), "row_no").limit(sample).collect())
     out = None
-    for q_ids, q in _blocks(rows.where(is_query), block):
+    for q_rows, q_ids, q in _blocks(rows.where(is_query), block):
         first = Best(len(q), k, np.full(len(q), -np.inf))
         for at in range(0, len(q), 512):
             part = np.arange(at, min(at + 512, len(q)))
-            if len(s_ids):
-                first.add(part, products(q[part], s_rows), s_ids, s_ids != q_ids[part, None])
-        shared = spark.sparkContext.broadcast((q_ids, q, first.floor))
+            if len(s_numbers):
+                first.add(part, products(q[part], s_rows), s_ids, s_numbers != q_rows[part, None])
+        shared = spark.sparkContext.broadcast((q_rows, q_ids, q, first.floor))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            q_ids, q, floor = shared.value
+            q_rows, q_ids, q, floor = shared.value
             best = Best(len(q), k, floor.copy())
             held, n = [], 0
             for batch in batches:
@@ -193,25 +195,25 @@ def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCAL
                     held.append(batch.slice(at, shard))
                     n += len(held[-1])
                     if n >= shard:
-                        _search(held, q, q_ids, best)
+                        _search(held, q, q_rows, best)
                         held, n = [], 0
             if n:
-                _search(held, q, q_ids, best)
+                _search(held, q, q_rows, best)
             at, rank = np.nonzero(best.found)
-            yield pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array(best.id[at, rank]), pa.array(best.score[at, rank])], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(q_rows[at]), pa.array(q_ids[at]), pa.array(best.id[at, rank]), pa.array(best.score[at, rank])], ["query_row", "query_id", "vec_id", "score"])
 
-        found = rows.repartition(partitions(spark)).mapInArrow(run, "query_id long, vec_id long, score long")
+        found = rows.select("row_no", "vec_id", "v").mapInArrow(run, "query_row long, query_id long, vec_id long, score long")
         out = found if out is None else out.union(found)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(held: list[pa.RecordBatch], q: np.ndarray, q_ids: np.ndarray, best: Best) -> None:
+def _search(held: list[pa.RecordBatch], q: np.ndarray, q_rows: np.ndarray, best: Best) -> None:
     batch = pa.concat_batches(held)
     if len(batch):
-        search_shard(q, q_ids, matrix(batch.column("v")), batch.column("vec_id").to_numpy(), best)
+        search_shard(q, q_rows, matrix(batch.column("v")), batch.column("row_no").to_numpy(), batch.column("vec_id").to_numpy(), best)
 
 
 #: The same in DuckDB's SQL, for vectors of one length.

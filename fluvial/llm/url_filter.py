@@ -1,9 +1,11 @@
 """URL filters: rules by host and path, and gradient-boosted trees on lexical features for what no rule decides.
 
-The trees learn from labelled URLs: those that a rule decides, or any table with url and label. Features are lengths, depth,
-digit ratio, character entropy, counts of labels, hyphens and parameters, and the share of blocked URLs among all labelled
-ones of the host's suffix (its last label), smoothed. The suffix statistics are counted over all labelled rows by Spark and
-joined; the trees are fitted on a bounded sample, the `sample` labelled URLs of the least hashes.
+The trees learn from labelled URLs: any table with url and label, or else those that a rule decides. Features are lengths, depth,
+digit ratio, character entropy, counts of labels, hyphens and parameters, and the share of blocked URLs among the labelled ones of
+the host's suffix (its last label), smoothed. The suffix statistics are counted over all labelled rows by Spark and are cross-fitted: a
+labelled row gets the share of the other folds, dealt by host, so it never sees its own label or its host's. A suffix
+whose labels are all alike gets the share of all suffixes: it could repeat the label but not be tested, so it decides nothing by itself.
+The trees are fitted on a bounded sample, the `sample` labelled URLs of the least hashes, of up to `SAMPLE_CHARS` characters.
 
 A null URL, or one without "://", has an empty host and path; no rule fits it and the trees judge it by its features. An
 empty table gives an empty result. With no labelled URL, or only one kind, the verdict is allow, or that kind. Rows that
@@ -25,7 +27,11 @@ from pyspark.sql import functions as F
 #: (verdict, rule): the rule is a host and the start of a path.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 BLOCK, ALLOW = "block", "allow"
-SAMPLE = 20_000
+SAMPLE, SAMPLE_CHARS = 20_000, 8_192
+#: Folds of the suffix statistics, dealt by host.
+FOLDS = 5
+#: Suffixes up to which their statistics are broadcast, so that URLs are scored where they are read.
+FEW_SUFFIXES = 100_000
 #: Labelled URLs that the prior share of a suffix counts as.
 PRIOR = 10.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -142,19 +148,36 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-margin))
 
 
-def with_suffix_share(urls: DataFrame, labelled: DataFrame) -> DataFrame:
-    """urls(host, ...) with share: how many of all labelled(host, label) rows of the host's suffix are blocked, smoothed towards all."""
-    suffix = F.substring_index("host", ".", -1)
-    counted = labelled.groupBy(suffix.alias("suffix")).agg(F.count("*").alias("n"), F.sum((F.col("label") == BLOCK).cast("long")).alias("blocked"))
-    total = counted.agg(F.coalesce(F.sum("blocked") / F.sum("n"), F.lit(0.5)).alias("overall"))
-    share = (F.coalesce("blocked", F.lit(0)) + PRIOR * F.col("overall")) / (F.coalesce("n", F.lit(0)) + PRIOR)
-    # One row of totals; the join keys are the few suffixes that were counted.
-    return urls.withColumn("suffix", suffix).join(counted, "suffix", "left").join(F.broadcast(total)).withColumn("share", share).drop("suffix", "n", "blocked", "overall")
+def suffix_counts(labelled: DataFrame) -> DataFrame:
+    """suffix, overall, n and blocked (arrays by fold, the last for all) of labelled(host, label); one row of a null suffix has the overall share alone."""
+    rows = labelled.select(F.substring_index("host", ".", -1).alias("suffix"), fold_of().alias("fold"), (F.col("label") == BLOCK).cast("long").alias("b"))
+    of = lambda x: [F.sum(F.when(F.col("fold") == k, x).otherwise(0)) for k in range(FOLDS)]
+    counted = rows.rollup("suffix").agg(F.array(*of(F.lit(1)), F.count("*")).alias("n"), F.array(*of(F.col("b")), F.sum("b")).alias("blocked"), F.grouping("suffix").alias("whole"))
+    return counted.select(F.when(F.col("whole") == 0, F.col("suffix")).alias("suffix"), "whole", "n", "blocked")
+
+
+def fold_of(host: str = "host") -> Column:
+    return F.pmod(F.xxhash64(host), F.lit(FOLDS)).cast("int")
+
+
+def with_suffix_share(urls: DataFrame, labelled: DataFrame, fold: Column | None = None) -> DataFrame:
+    """urls(host, ...) with share: how many of the labelled(host, label) rows of the host's suffix are blocked, without those of `fold`, smoothed towards all."""
+    counted = suffix_counts(labelled)
+    whole = counted.where("whole = 1").select(F.get("n", F.lit(FOLDS)).alias("n"), F.get("blocked", F.lit(FOLDS)).alias("b")).first()
+    overall = F.lit(whole.b / whole.n if whole and whole.n else 0.5)
+    last = F.lit(FOLDS)
+    mixed = counted.where("whole = 0").where((F.get("blocked", last) > 0) & (F.get("blocked", last) < F.get("n", last))).select(F.col("suffix").alias("uf_suffix"), F.col("n").alias("uf_n"), F.col("blocked").alias("uf_blocked"))
+    if mixed.limit(FEW_SUFFIXES + 1).count() <= FEW_SUFFIXES:
+        mixed = F.broadcast(mixed)
+    joined = urls.join(mixed, F.substring_index(urls["host"], ".", -1) == F.col("uf_suffix"), "left")
+    without = lambda c: F.get(c, last) - (F.lit(0) if fold is None else F.get(c, fold))
+    share = (F.coalesce(without("uf_blocked"), F.lit(0)) + PRIOR * overall) / (F.coalesce(without("uf_n"), F.lit(0)) + PRIOR)
+    return joined.withColumn("share", share).drop("uf_suffix", "uf_n", "uf_blocked")
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> BoostedTrees | str:
     """Trees fitted on labelled(url, host, path, share, label); with one label only, that label."""
-    rows = labelled.select("url", "host", "path", "share", "label").orderBy(F.xxhash64("url"), "url").limit(sample).collect()
+    rows = labelled.where(F.coalesce(F.length("url"), F.lit(0)) <= SAMPLE_CHARS).select("url", "host", "path", "share", "label").orderBy(F.xxhash64("url"), "url").limit(sample).collect()
     kinds = {r.label for r in rows}
     if len(kinds) < 2:
         return kinds.pop() if kinds else ALLOW
@@ -162,14 +185,27 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> BoostedTrees | str:
     return BoostedTrees().fit(x, np.array([r.label == BLOCK for r in rows], float))
 
 
-def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, sample: int = SAMPLE) -> DataFrame:
-    """page_id, host, path, rule, verdict, score (the trees' probability of block; null where a rule decides) of every row of pages(page_id, url)."""
+def learn(labelled: DataFrame, sample: int = SAMPLE) -> BoostedTrees | str:
+    """Trees fitted on labelled(url, label), with cross-fitted suffix statistics."""
+    host, path = host_and_path()
+    rows = labelled.where("label IS NOT NULL").select("url", "label", host.alias("host"), path.alias("path"))
+    return fit(with_suffix_share(rows, rows, fold_of()), sample)
+
+
+def judge(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, sample: int = SAMPLE, labelled: DataFrame | None = None) -> DataFrame:
+    """page_id, host, path, rule, verdict, score (the trees' probability of block; null where a rule decides) of every row of pages(page_id, url).
+
+    The trees learn from labelled(url, label), label block or allow; by default from the pages that a rule decides.
+    """
     host, path = host_and_path()
     rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, said = rule_and_verdict(rules)
     rows = rows.withColumns({"rule": rule, "label": said})
-    rows = with_suffix_share(rows, rows.where("label IS NOT NULL"))
-    model = fit(rows.where("label IS NOT NULL"), sample)
+    if labelled is None:
+        labelled = rows.select("url", "label")
+    known = labelled.where("label IS NOT NULL").select(host.alias("host"), "label")
+    model = learn(labelled, sample)
+    rows = with_suffix_share(rows, known)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
