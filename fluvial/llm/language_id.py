@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from fluvial.llm.common import CACHE_WORDS, text_slices
 
 UND = "und"
-#: Documents of each language in the fitted sample, languages (the most frequent), buckets of hashed n-grams.
-PER_LANGUAGE, LANGUAGES, BUCKETS = 3_000, 256, 1 << 15
+#: Documents of each language in the fitted sample, and buckets of hashed n-grams. All languages are learned; each takes 256 kB.
+PER_LANGUAGE, BUCKETS = 3_000, 1 << 15
 ORDERS = (1, 2, 3, 4)
 #: Cost of a switch, in mean log-probability of a word.
 SWITCH = 6.0
@@ -114,12 +114,11 @@ def is_training(doc_id: str = "doc_id") -> Column:
 def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """The model of train(doc_id, text, lang): only text and lang are learned from; doc_id deals the sample."""
     train = train.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = [(r["lang"], min(1.0, per_language / r["count"])) for r in train.groupBy("lang").count().collect()]
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((SCRIPTS, 0), bool))
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / r["count"]))).otherwise(share)
+    shares = train.sparkSession.createDataFrame(sizes, "id_lang string, share double")
+    train = train.join(F.broadcast(shares), F.col("lang") == F.col("id_lang")).drop("id_lang")
     dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,7 +142,7 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             at = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(held[at].astype(np.int64))], ["lang", "bucket", "n"])
 
-    counted = train.where(dealt < share).mapInArrow(count, "lang string, bucket long, n long")
+    counted = train.where(dealt < F.col("share")).drop("share").mapInArrow(count, "lang string, bucket long, n long")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(found.column("lang").to_pylist()), key=lambda s: s.encode())
     held = np.zeros((BUCKETS + SCRIPTS, len(languages)))
@@ -270,3 +269,18 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH, keep: list[
 
     schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col("text").alias("id_text")).mapInArrow(run, schema)
+
+
+def spans(docs: DataFrame, model: Model, penalty: float = SWITCH) -> DataFrame:
+    """doc_id, first_word, last_word (excluded), lang of each run of words of one label, for every text of docs(doc_id, text); texts without a word have none."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(shared.value, penalty)
+        for batch in batches:
+            for at, texts in text_slices(batch):
+                found = [(at + i, *span) for i, t in enumerate(texts) for span in labeller.spans((t or b"").decode())]
+                row, first, last, lang = zip(*found, strict=True) if found else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(lang, pa.string())], ["doc_id", "first_word", "last_word", "lang"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, first_word int, last_word int, lang string")

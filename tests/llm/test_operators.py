@@ -272,6 +272,8 @@ def test_languages_are_told_apart(spark, odd, nothing):
     mixed = make("aa", 20) + " " + make("ru", 20) + " " + make("bb", 20)
     assert [s[2] for s in label.spans(mixed)] == ["aa", "ru", "bb"]
     assert label.languages(["", "12 !", make("bb", 5), "日本"])[0][:3] == ["und", "und", "bb"]
+    mixes = spark.createDataFrame([(1, mixed), (2, None), (3, "")], "doc_id int, text string")
+    assert [(r.doc_id, r.first_word, r.last_word, r.lang) for r in language_id.spans(mixes, model).orderBy("doc_id", "first_word").collect()] == [(1, 0, 20, "aa"), (1, 20, 40, "ru"), (1, 40, 60, "bb")]
     got = language_id.identify(odd, model).collect()
     assert len(got) == odd.count()
     assert {r.lang_pred for r in got if r.doc_id in (2, 3, 4, 6)} == {"und"}
