@@ -13,6 +13,9 @@ documents (radius 20); two halves keep 2 ** 28 anchors at 34 replicas.
 Equal fingerprints are collapsed before they are replicated. At an anchor with many fingerprints a search that starts from one
 and compares with those not reached yet gives a spanning forest: no more links than fingerprints, whatever the number of pairs.
 
+`copies`, which the pipeline uses, goes by the Jaccard similarity of sets of five-word shingles instead: fingerprints of 256 bits, so
+that one of eight halves is close at a similarity of 0.8, the same anchors, and an exact check of the sets.
+
 Null and empty texts have fingerprint zero and link like any other; fewer than `width` words make one shingle. Rows that
 repeat are each labelled; a null doc_id never becomes a component's id unless it is alone. Empty tables give empty
 results. Extra columns are ignored.
@@ -28,8 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fluvial.llm.common import materialize, partitions, ragged, text_slices
+from fluvial.llm.bits import different, mixed, simhashes
+from fluvial.llm.common import materialize, partitions, ragged, sorted_groups, text_slices
 from fluvial.llm.components import connected_components
+from fluvial.llm.decontaminate import shingle_hashes
 
 SEED = 42
 WIDTH = 3
@@ -38,6 +43,8 @@ MOST_BITS = 3
 SMALL = 8
 #: Shingles whose hashes a worker holds at once.
 BLOCK = 1 << 16
+#: Bits of the map that picks the texts whose shingles are compared: 8 MB.
+MAP_BITS = 26
 
 
 def fingerprint(text: bytes | None, width: int = WIDTH) -> int:
@@ -151,35 +158,6 @@ def _forest(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([empty, *member]), np.concatenate([empty, *head])
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """From batches sorted by key: pieces that hold whole groups, with the start and size of each group."""
-    held: list[pa.RecordBatch] = []  # of one group that may go on
-    for batch in batches:
-        if not len(batch):
-            continue
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        cut = int(np.searchsorted(keys, keys[-1]))
-        if held and keys[0] != held[0].column(key)[0].as_py():
-            yield _grouped(held, key)
-            held = []
-        if cut:
-            yield _grouped([*held, batch.slice(0, cut)], key)
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield _grouped(held, key)
-
-
-def _grouped(batches: list[pa.RecordBatch], key: str) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-    batch = pa.concat_batches(batches) if len(batches) > 1 else batches[0]
-    return _groups(batch, batch.column(key).to_numpy(zero_copy_only=False))
-
-
-def _groups(batch: pa.RecordBatch, keys: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-    starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
-    return batch, starts, np.diff(np.concatenate((starts, [len(keys)])))
-
-
 def links(distinct: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """(a, b): links between fingerprints of distinct(fp) that connect all that differ by at most three bits."""
     if not 0 <= most <= 3:
@@ -215,8 +193,142 @@ def as_hex(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def keep_one(docs: DataFrame, width: int = WIDTH, most: int = MOST_BITS) -> DataFrame:
-    """The rows of docs whose doc_id is their component's; rows that share an id are one document and stay together."""
-    found = near_duplicates(docs, width, most)
+#: Copies: words of a shingle, Jaccard similarity of the sets of shingles, 64-bit words of a fingerprint and how many bits of one may differ.
+COPY_WIDTH, SIMILARITY, COPY_WORDS, MOST_CHECK = 5, 0.8, 4, 20
+#: A fingerprint at an anchor of one of its halves: the anchor, the text, and 64 other bits.
+ENTRY = np.dtype([("anchor", "<u4"), ("id", "<i8"), ("check", "<u8")])
+#: Fingerprints at an anchor over which links go from one to those near it only, not between all.
+CROWD = 64
+_CHECKED = np.array([sum(1 << (i - 1) for i in range(1, 32) if i >> k & 1) for k in range(5)], np.uint32)
+_FLIPS = np.array([row + [0] * (17 - len(row)) for row in _masks()], np.uint32)
+_ANCHORS = np.array([len(row) for row in _masks()])
+
+
+def shingle_sets(texts: list[bytes | None], width: int = COPY_WIDTH) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Digest of each text's words; the different hashes of its shingles, text after text, and how many each has."""
+    words = [(t or b"").lower().split() for t in texts]
+    flat = [w for ws in words for w in ws]
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))
+    found, n = shingle_hashes(hashes, np.fromiter(map(len, words), np.int64, len(words)), width)
+    return [xxhash.xxh3_128_digest(b" ".join(ws)) for ws in words], *different(found, n)
+
+
+def copy_candidates(prints: DataFrame, most: int = MOST_CHECK) -> DataFrame:
+    """(a, b), a < b: pairs of prints(id, print) that meet at an anchor of a half and differ in at most `most` of 64 other bits.
+
+    Every fingerprint goes to all anchors within 2 of each of its halves, and all that stand at an anchor are compared, so halves that differ in one bit
+    meet for sure, in two almost always, and in three or four now and then. Of a crowd at an anchor, each is linked to the first that it is near.
+    """
+    spark = prints.sparkSession
+    parts = 4 * partitions(spark)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            ids, words = batch.column("id").to_numpy(), np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint64).reshape(len(batch), -1)
+            halves = words.view(np.uint32)
+            for h in range(halves.shape[1]):
+                value = halves[:, h]
+                syndrome = sum((np.bitwise_count(value & c).astype(np.int64) & 1) << k for k, c in enumerate(_CHECKED))
+                count = _ANCHORS[syndrome]
+                out = np.zeros(int(count.sum()), ENTRY)
+                out["anchor"] = (value[:, None] ^ _FLIPS[syndrome])[np.arange(_FLIPS.shape[1]) < count[:, None]]
+                out["id"], out["check"] = np.repeat(ids, count), np.repeat(words[:, (h // 2 + 1) % words.shape[1]], count)
+                part = h * parts + (mixed(out["anchor"].astype(np.uint64), h) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                part, out = part[order], out[order]
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts].astype(np.int32)), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, starts, sizes in sorted_groups(batches, "part"):
+            for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
+                entries = np.frombuffer(b"".join(batch.column("entries").slice(s, n).to_pylist()), ENTRY)
+                entries = entries[np.lexsort((entries["id"], entries["anchor"]))]
+                begins = np.concatenate(([0], np.flatnonzero(np.diff(entries["anchor"])) + 1))
+                count = np.diff(np.append(begins, len(entries)))
+                a, b = _near(np.ascontiguousarray(entries["id"]), np.ascontiguousarray(entries["check"]), begins[count > 1], count[count > 1], most)
+                if len(a):
+                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+    dealt = prints.mapInArrow(pack, "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(meet, "a long, b long").distinct()
+
+
+def _near(ids: np.ndarray, check: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    few = sizes <= CROWD
+    s, n = starts[few], sizes[few]
+    row = ragged(s, n)
+    after = np.repeat(s + n, n) - row - 1
+    i, j = np.repeat(row, after), ragged(row + 1, after)
+    near = np.bitwise_count(check[i] ^ check[j]) <= most
+    left, right = [ids[i[near]]], [ids[j[near]]]
+    for s, n in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
+        rest = np.arange(s, s + n)
+        while len(rest):
+            head, rest = rest[0], rest[1:]
+            close = np.bitwise_count(check[rest] ^ check[head]) <= most
+            left.append(np.full(close.sum(), ids[head]))
+            right.append(ids[rest[close]])
+            rest = rest[~close]
+    return np.concatenate(left), np.concatenate(right)
+
+
+def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
+    """doc_id, component_id (the smallest doc_id of its group) of every row of docs(doc_id, text): texts link if their sets of shingles have Jaccard similarity `least`.
+
+    Candidates come from the anchors; each is verified on the whole sets. Texts of the same words, but for case and white space, are one from the start.
+    """
+
+    def fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in text_slices(batch):
+                digests, hashes, n = shingle_sets(texts, width)
+                some = np.flatnonzero(n)
+                prints = np.zeros((len(texts), 8 * COPY_WORDS), np.uint8)
+                prints[some] = simhashes(hashes, n[some], COPY_WORDS)
+                held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * COPY_WORDS), len(texts), [None, pa.py_buffer(prints)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(digests, pa.binary()), held], ["doc_id", "digest", "print"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
+        for batch in batches:
+            for _, texts in text_slices(batch):
+                digests, hashes, n = shingle_sets(texts, width)
+                slot = np.frombuffer(b"".join(digests), ">u4")[::4] >> 32 - MAP_BITS
+                use = np.flatnonzero((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                ends = np.cumsum(n)
+                rows = [hashes[ends[i] - n[i] : ends[i]].view(np.int64) for i in use.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in use.tolist()], pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["digest", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    light = materialize(texts.mapInArrow(fingerprinted, "doc_id long, digest binary, print binary"), "copy-prints")
+    distinct = light.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("print").alias("print")).withColumn("id", F.monotonically_increasing_id())
+    distinct = materialize(distinct, "copy-distinct")
+    pairs = materialize(copy_candidates(distinct.select("id", "print")), "copy-pairs")
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = materialize(distinct.join(ends, "id").select("id", "digest"), "copy-wanted")
+    slot = F.shiftright(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), 32 - MAP_BITS)
+    found = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(slot & 7 as int))")).alias("bits")).toArrow()
+    flags = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+    flags[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(flags)
+    held = texts.mapInArrow(sets, "digest binary, shingles array<long>").groupBy("digest").agg(F.first("shingles").alias("shingles")).join(wanted, "digest")
+    held = materialize(held.select("id", "shingles"), "copy-shingles")
+    of = lambda x: held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    close = F.least(F.size("sa"), F.size("sb")) >= least * F.greatest(F.size("sa"), F.size("sb")) - 1e-9
+    linked = pairs.join(of("a"), "a").join(of("b"), "b").where(close).where(common >= least * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
+    roots = connected_components(linked, "a", "b")
+    grown = materialize(distinct.join(roots, distinct["id"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "id").alias("root")), "copy-roots")
+    label = materialize(grown.join(grown.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("digest", "component_id"), "copy-labels")
+    return light.select("doc_id", "digest").join(label, "digest").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
+    """The rows of docs whose doc_id is the smallest of its group of copies; rows that share an id are one document and stay together."""
+    found = copies(docs, width, least)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_id")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["nd_id"]), "left_semi")

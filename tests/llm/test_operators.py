@@ -526,6 +526,29 @@ def test_near_duplicates_of_odd_rows(odd, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+def test_copies_by_plain_jaccard_similarity(spark):
+    rnd, texts = random.Random(12), []
+    for _ in range(60):
+        w = words(rnd, rnd.randrange(30, 300))
+        texts.append(" ".join(w))
+        for _ in range(rnd.randrange(4)):
+            v = list(w)
+            for k in rnd.sample(range(len(v)), rnd.choice([1, 1, 2, 3])):
+                v[k] = "zz"
+            texts.append(rnd.choice([" ", "  "]).join(v).upper())
+    sets = [shingles(t) for t in texts]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9]
+    parent = list(range(len(texts)))
+    for i, j in near:
+        parent[find(parent, i)] = find(parent, j)
+    df = spark.createDataFrame([*enumerate(texts), (900, None), (901, " ")], "doc_id int, text string")
+    got = {r.doc_id: r.component_id for r in simhash.copies(df).collect()}
+    assert got[900] == got[901] == 900
+    assert all(find(parent, i) == find(parent, got[i]) for i in range(len(texts)))
+    assert len(near) > 50
+    assert sum(got[i] == got[j] for i, j in near) >= 0.98 * len(near)
+
+
 def test_ids_of_any_whole_type(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id int, text string")
     assert [r.component_id for r in simhash.near_duplicates(df).collect()] == [1, 1]
