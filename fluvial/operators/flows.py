@@ -36,10 +36,9 @@ def weighted_flows(weights: DataFrame, flows: DataFrame) -> DataFrame:
     found = weights.join(there, "comid")
     total = found.groupBy("ref_id").agg(F.sum("fraction").alias("total"))
     sums = found.join(flows, "comid").groupBy("ref_id", "day").agg(F.sum(F.col("q") * F.col("fraction")).alias("sum"))
-    days = flows.select("day").distinct()
-    refs = weights.select("ref_id").distinct()
-    # The days are a short list by nature; each basin gets a row for each of them.
-    grid = refs.join(F.broadcast(days))
+    # Each basin gets a row for each day that any flow has.
+    days = flows.agg(F.lit(1).alias("one"), F.collect_set("day").alias("days"))
+    grid = refs.withColumn("one", F.lit(1)).join(days, "one").select("ref_id", F.explode("days").alias("day"))
     out = grid.join(sums, ["ref_id", "day"], "left").join(total, "ref_id", "left")
     return out.select("ref_id", "day", F.coalesce(F.when(F.col("total") > 0, F.col("sum") / F.col("total")), F.lit(0.0)).alias("q"))
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fluvial.checkpoint import materialize
+
 
 def arg_max(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The row of each key that is greatest by the order; give ties as further, negated or not, columns."""
@@ -99,10 +101,17 @@ def append_sources(master: DataFrame, *sources: DataFrame) -> DataFrame:
 def running_ids(tables: list[DataFrame], order: list[str], name: str = "hy_id", first: int = 1) -> DataFrame:
     """The tables one after the other with one running id, in each table by the order.
 
-    Numbering all rows by one order is a window over the whole, meant for the small tables of located features.
+    The rows are sorted by ranges and written; each range's rows are numbered by themselves and start where the ranges before them end.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [t.withColumn("table_rank", F.lit(i)) for i, t in enumerate(tables)])
-    return stacked.withColumn(name, (F.row_number().over(W.orderBy("table_rank", *order)) + (first - 1)).cast("long")).drop("table_rank")
+    spark = stacked.sparkSession
+    ranged = stacked.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "table_rank", *order).withColumn("range_no", F.spark_partition_id())
+    ranged = materialize(ranged, "ranges")
+    counts = ranged.groupBy("range_no").count()
+    before = F.coalesce(F.sum("count").over(W.orderBy("range_no").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row for each range
+    within = F.row_number().over(W.partitionBy("range_no").orderBy("table_rank", *order))
+    out = ranged.withColumn("range_row", within).join(F.broadcast(counts.select("range_no", before.alias("range_start"))), "range_no")
+    return out.withColumn(name, (F.col("range_start") + F.col("range_row") + (first - 1)).cast("long")).drop("table_rank", "range_no", "range_row", "range_start")
 
 
 def missing_keys(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:

@@ -67,6 +67,7 @@ def buffer_crosswalk(refs: DataFrame, targets: DataFrame, radius: float, least:
     size = 8 * radius
     r, t = segments(refs).withColumnRenamed("id", "ref"), segments(targets).withColumnRenamed("id", "target")
     low, high = (lambda p, m=0.0: F.least(f"{p}0", f"{p}1") - m), (lambda p, m=0.0: F.greatest(f"{p}0", f"{p}1") + m)
+    r = r.drop("seg")
     a = _spread(r, low("x", radius), high("x", radius), low("y", radius), high("y", radius), size).select("ref", *(F.col(c).alias(f"r{c}") for c in ("x0", "y0", "x1", "y1")), "cx", "cy")
     b = _spread(t, low("x"), high("x"), low("y"), high("y"), size)
     pairs = b.join(a, ["cx", "cy"]).drop("cx", "cy").distinct()
@@ -75,11 +76,11 @@ def buffer_crosswalk(refs: DataFrame, targets: DataFrame, radius: float, least:
         for p in batches:
             xy = lambda x, y, p=p: p[[x, y]].to_numpy(float)
             s, e = capsule_interval(xy("x0", "y0"), xy("x1", "y1"), xy("rx0", "ry0"), xy("rx1", "ry1"), radius)
-            yield p.assign(s=s, e=e)[s <= e][["ref", "target", "x0", "y0", "x1", "y1", "s", "e"]]
+            yield p.assign(s=s, e=e)[s <= e][["ref", "target", "seg", "x0", "y0", "x1", "y1", "s", "e"]]
 
     types = dict(pairs.dtypes)
-    met = pairs.mapInPandas(measure, f"ref {types['ref']}, target {types['target']}, x0 double, y0 double, x1 double, y1 double, s double, e double")
-    by_segment = met.groupBy("ref", "target", "x0", "y0", "x1", "y1").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("parts"))
+    met = pairs.mapInPandas(measure, f"ref {types['ref']}, target {types['target']}, seg int, x0 double, y0 double, x1 double, y1 double, s double, e double")
+    by_segment = met.groupBy("ref", "target", "seg").agg(F.first("x0").alias("x0"), F.first("y0").alias("y0"), F.first("x1").alias("x1"), F.first("y1").alias("y1"), F.array_sort(F.collect_list(F.struct("s", "e"))).alias("parts"))
     span = F.sqrt((F.col("x1") - F.col("x0")) ** 2 + (F.col("y1") - F.col("y0")) ** 2)
     inside = by_segment.groupBy("ref", "target").agg(F.sum(_union_length(F.col("parts")) * span).alias("inside"))
     total = targets.select(F.col("id").alias("target"), geometry.length(F.col("line")).alias("total"))

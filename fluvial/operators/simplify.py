@@ -291,10 +291,13 @@ def units(classes: DataFrame) -> DataFrame:
     from fluvial.operators.graph import components
     from fluvial.operators.keyed import arg_max
 
-    merged = classes.where("class = 'merged'").select("outlet_id", F.col("id").alias("a"), F.col("target").alias("b"))
-    groups = components(merged, "a", "b").select(F.col("node").alias("ref_id"), F.col("component").alias("unit"))
-    where = classes.select(F.col("id").alias("ref_id"), "outlet_id").distinct()
-    aggregates = groups.join(where, "ref_id").select("outlet_id", "unit", "ref_id", F.lit("aggregate").alias("type"), F.lit(0).alias("rank"))
+    # A merge into what lies below an outlet joins nothing: that id stands for no reach, and all basins share it.
+    node = lambda c: F.struct("outlet_id", F.col(c).alias("id"))
+    merged = classes.where((F.col("class") == "merged") & (F.col("target") != NOWHERE)).select(node("id").alias("a"), node("target").alias("b"))
+    groups = components(merged, "a", "b").select("node.outlet_id", F.col("node.id").alias("ref_id"), F.col("component.id").alias("unit"))
+    lone = classes.where((F.col("class") == "merged") & (F.col("target") == NOWHERE)).select("outlet_id", F.col("id").alias("ref_id"), F.col("id").alias("unit"))
+    lone = lone.distinct().join(groups.select("outlet_id", "ref_id"), ["outlet_id", "ref_id"], "left_anti")
+    aggregates = groups.unionByName(lone).withColumns({"type": F.lit("aggregate"), "rank": F.lit(0)})
     single = lambda c, rank: classes.where(F.col("class") == c).select("outlet_id", F.col("id").alias("unit"), F.col("id").alias("ref_id"), F.lit(c).alias("type"), F.lit(rank).alias("rank"))
     every = aggregates.unionByName(single("independent", 1)).unionByName(single("connector", 2))
     return arg_max(every, ["outlet_id", "ref_id"], F.col("rank"), F.col("unit")).select("outlet_id", "unit", "ref_id", "type")

@@ -73,6 +73,12 @@ def test_location_ids_are_unique(spark):
     assert location_ids.duplicates(out).count() == 0
 
 
+def test_location_ids_of_crowded_places_are_unique(spark):
+    rows = [(k % 2, k, 40.0 + 9e-6 * (k % 6), -90.0 + 9e-6 * (k % 5)) for k in range(300)]
+    out = location_ids.location_ids(spark.createDataFrame(rows, "rank int, key long, lat double, lon double")).collect()
+    assert len({r.gid for r in out}) == len({r.id for r in out}) == len(out) == 300
+
+
 def test_nearest_line(spark):
     lines = spark.createDataFrame([(1, points((0, 0), (10, 0))), (2, points((0, 5), (10, 5)))], f"id long, line {g.LINE}")
     pts = spark.createDataFrame([(1, 5.0, 1.0), (2, 5.0, 2.5), (3, 50.0, 50.0), (4, None, 1.0)], "id long, x double, y double")

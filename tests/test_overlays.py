@@ -26,6 +26,12 @@ def test_buffer_crosswalk(spark):
     assert {r.best for r in overlays.buffer_crosswalk(refs, far, 2.0, 0.5).collect()} == {None}
 
 
+def test_a_line_that_goes_back_counts_each_way(spark):
+    refs = spark.createDataFrame([(1, points((0, 0), (10, 0)))], f"id long, line {LINE}")
+    back = spark.createDataFrame([(5, points((0, 0), (5, 0), (0, 0), (5, 0)))], f"id long, line {LINE}")
+    assert sorted(map(tuple, overlays.buffer_crosswalk(refs, back, 1.0, 0.5).collect())) == [(1, 5, 1.0)]
+
+
 def test_capsule_interval_against_sampling():
     rnd = np.random.default_rng(1)
     p0, p1, a, b = (rnd.uniform(-3, 3, (200, 2)) for _ in range(4))

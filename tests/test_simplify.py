@@ -35,6 +35,19 @@ def test_small_basins(spark):
     assert run(spark, short, overrides={"2": (("turn_over", "self", "down"),)})["merged"] == {("2", "1")}
 
 
+def test_basins_stay_apart_below_their_outlets(spark):
+    basin = lambda o: [(o, o, None, 2, 0.001, 2.0, True), *((o, o + k, o, 2, 5.0, 2.0, True) for k in (1, 2, 3))]
+    classes = simplify.classify(spark.createDataFrame(basin(10) + basin(20), COLUMNS))
+    assert {r.outlet_id for r in classes.where("class = 'merged' AND target = '0'").collect()} == {"10", "20"}
+    units = simplify.units(classes).collect()
+    assert all(u.unit != "0" and u.ref_id != "0" for u in units)
+    outlets = {}
+    for u in units:
+        outlets.setdefault(u.unit, set()).add(u.outlet_id)
+    assert all(len(x) == 1 for x in outlets.values())
+    assert {u.ref_id for u in units} >= {"10", "20"}
+
+
 def test_every_reach_is_classified_once_walked(spark):
     rnd = random.Random(6)
     rows, order = [], {}
