@@ -41,12 +41,12 @@ def polygons_by_priority(polygons: DataFrame, order: tuple[str, ...] = ("nwm_lak
 def assimilation(lakes: DataFrame, *sources: DataFrame) -> DataFrame:
     """nhf_lake_id, lake_id, site_no, da_type of lakes(nhf_lake_id, lake_id) from sources(lake_id, site_no, da_type), earlier ones first.
 
-    All copies of rows that agree in lake_id and da_type go; the best ranked code of a lake stays (6, then 4, then any over 1), the first source on ties;
+    All copies of rows that agree in lake_id and da_type go; the best ranked code of a lake stays (6, then 4, then any over 1), the first source on ties, then the greatest site and code;
     lakes without one run as level pools.
     """
     ranked = append_sources(sources[0].withColumn("nth", F.lit(0)), *(s.withColumn("nth", F.lit(i + 1)) for i, s in enumerate(sources[1:])))
     rank = F.when(F.col("da_type") == USBR, 3).when(F.col("da_type") == RFC, 2).when(F.col("da_type") > LEVEL_POOL, 1).otherwise(0)
-    best = arg_max(without_copies(ranked, ["lake_id", "da_type"]), ["lake_id"], rank, -F.col("nth"), F.coalesce("site_no", F.lit("")))
+    best = arg_max(without_copies(ranked, ["lake_id", "da_type"]), ["lake_id"], rank, -F.col("nth"), F.coalesce("site_no", F.lit("")), F.col("da_type"))
     return lakes.join(best.select("lake_id", "site_no", "da_type"), "lake_id", "left").select("nhf_lake_id", "lake_id", "site_no", F.coalesce("da_type", F.lit(LEVEL_POOL)).alias("da_type"))
 
 
