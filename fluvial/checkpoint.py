@@ -12,19 +12,24 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """spark.checkpoint.dir as the session has it; a new local folder only where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir as the session has it; where it is unset, a new one, but only if all run on this machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = held.get() if held.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="fluvial-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut df's lineage by a Parquet table in the shared folder; the files go when the driver's Python ends."""
+    """Write df as Parquet to the shared folder and read it back: later stages restart from those files when executors are lost.
+
+    The files go when the driver's Python ends.
+    """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/fluvial-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
