@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,48 +11,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluvial.checkpoint import materialize, shared_root
+
+__all__ = ["materialize", "shared_root"]
+
 #: Bytes of text that a Python worker unpacks at once.
 SLICE_BYTES = 2 << 20
 #: Rows of a batch that goes to a Python worker.
 BATCH_ROWS = 1_000
 #: Entries at which a worker's word cache starts anew.
 CACHE_WORDS = 400_000
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir as the session has it; where it is unset, a new local one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = held.get() if held.isDefined() else None
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="fluvial-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it back: later stages restart from those files when executors are lost.
-
-    The files go when the driver's Python ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/fluvial-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not _written:
-        atexit.register(_drop_written)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _drop_written() -> None:
-    for spark, path in _written:
-        try:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # the session has ended already  # noqa: BLE001
-            return
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
