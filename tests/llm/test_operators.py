@@ -161,6 +161,33 @@ def test_repeated_passages(spark, odd, nothing):
     assert substring_dedup.repeated_documents(nothing).count() == 0
 
 
+def test_repeated_passages_against_brute_force(spark):
+    """Documents with a run of over 50 words that stands twice, among others that share many shorter phrases."""
+    rnd = random.Random(19)
+    name = lambda: rnd.choice(WORDS) + rnd.choice(WORDS) + str(rnd.randrange(50))
+    phrases = [[name() for _ in range(rnd.randrange(8, 16))] for _ in range(30)]
+    passages = [[name() for _ in range(rnd.randrange(55, 90))] for _ in range(12)]
+    docs = []
+    for i in range(240):
+        w = []
+        for _ in range(rnd.randrange(4, 12)):
+            w += rnd.choice(phrases) + [name() for _ in range(rnd.randrange(3, 25))]
+        if i % 4 == 0:
+            at = rnd.randrange(len(w))
+            w[at:at] = rnd.choice(passages)
+        docs.append((i, " ".join(w)))
+    where = defaultdict(set)
+    for i, text in docs:
+        w = text.split()
+        for k in range(len(w) - 50):
+            where[tuple(w[k : k + 51])].add((i, k))
+    want = {i for found in where.values() if len(found) > 1 for i, _ in found}
+    got = {r.doc_id for r in substring_dedup.repeated_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(want) > 40
+    assert len(got & want) >= 0.99 * len(want)
+    assert len(got & want) >= 0.95 * len(got)
+
+
 # URLs
 
 
