@@ -8,7 +8,7 @@ import pytest
 
 from fluvial import config
 from fluvial.functions.geometry import LINE
-from fluvial.operators import coverage, outlets
+from fluvial.operators import coverage, flows, keyed, outlets
 
 
 def points(*xy):
@@ -68,3 +68,18 @@ def test_settings(tmp_path, monkeypatch):
     file.write_text("- 1\n")
     with pytest.raises(ValueError, match="mapping"):
         config.load(file)
+
+
+def test_weighted_flows_have_every_day(spark):
+    weights = spark.createDataFrame([(1, 10, 0.25), (1, 11, 0.5), (1, 12, 0.25), (2, 99, 1.0)], "ref_id long, comid long, fraction double")
+    daily = spark.createDataFrame([(10, 1, 4.0), (11, 1, 1.0), (10, 2, 3.0)], "comid long, day int, q double")
+    assert rows(flows.weighted_flows(weights, daily)) == [(1, 1, pytest.approx(2.0)), (1, 2, pytest.approx(1.0)), (2, 1, 0.0), (2, 2, 0.0)]
+    assert flows.weighted_flows(weights, daily.limit(0)).count() == 0
+
+
+def test_running_ids_go_on_from_table_to_table(spark):
+    one = spark.createDataFrame([(k, "a") for k in (5, 3, 9)], "k int, t string")
+    two = spark.createDataFrame([(k, "b") for k in range(40)], "k int, t string")
+    got = sorted((r.hy_id, r.t, r.k) for r in keyed.running_ids([one, two], ["k"]).collect())
+    assert got == [(i + 1, *x) for i, x in enumerate([("a", 3), ("a", 5), ("a", 9), *(("b", k) for k in range(40))])]
+    assert keyed.running_ids([one.limit(0)], ["k"]).count() == 0
