@@ -5,7 +5,8 @@ document is cut into windows of 1.25 u shingles at steps of u / 4, so that any p
 whole in some window, however long the document is. In a partition the sizes of item and window are thereby known within a factor
 of 2.5, and containment t means a Jaccard similarity of at least t / (2.5 + 1 - t): 0.29 for 0.8. Signatures have `HASHES`
 minima, each a band of one row; an item and a window that share any are a candidate. At 0.8 a passage is missed with
-probability 0.71 ** 32, under 2e-5, and an item whose shingles are scattered over several windows hardly more often.
+probability 0.71 ** 32, under 2e-5, and an item whose shingles are scattered over several windows hardly more often. Items of one
+shingle are smaller than their class assumes; they are looked up by the shingle itself and never missed.
 
 Each candidate is verified in the same task: the item's distinct shingles that the whole document has, compared as words,
 divided by all of them. Documents are read once for each block of items and never shuffled. Items are taken in blocks of bounded
@@ -72,6 +73,7 @@ class ItemIndex:
     shingles: list[dict[tuple, int]]  # words -> hash
     classes: dict[int, tuple[list[np.ndarray], list[np.ndarray]]]
     filters: dict[int, np.ndarray]  # by hash: the low bits that any minimum has
+    single: tuple[np.ndarray, np.ndarray]  # the sorted shingles of items that have one, with their items
     width: int
     threshold: float
 
@@ -85,10 +87,12 @@ class ItemIndex:
             h, _ = shingle_hashes(hasher.of(words), np.array([len(words)]), width)
             ids.append(item_id)
             shingles.append({tuple(words[i : i + width]): int(x) for i, x in enumerate(h.tolist())})
-        bounds = [max(4, 1 << (len(s) - 1).bit_length()) for s in shingles]
+        alone = sorted((h, i) for i, s in enumerate(shingles) if len(s) == 1 for h in s.values())
+        single = np.array([h for h, _ in alone], np.uint64), np.array([i for _, i in alone], np.int64)
+        bounds = [max(4, 1 << (len(s) - 1).bit_length()) if len(s) > 1 else 0 for s in shingles]
         multiply, classes, filters = _multipliers(HASHES), {}, {}
         bits = max(16, (16 * max(len(ids), 1)).bit_length())
-        for u in sorted(set(bounds)):
+        for u in sorted(set(bounds) - {0}):
             members = np.array([i for i, b in enumerate(bounds) if b == u])
             minima = np.array([[int((np.array(list(shingles[i].values()), np.uint64) * a >> np.uint64(32)).min()) for a in multiply] for i in members], np.uint32)
             order = np.argsort(minima, axis=0, kind="stable")
@@ -97,12 +101,18 @@ class ItemIndex:
             for j in range(HASHES):
                 table[j, minima[:, j] & ((1 << bits) - 1)] = True
             filters[u] = table
-        return cls(ids, shingles, classes, filters, width, threshold)
+        return cls(ids, shingles, classes, filters, single, width, threshold)
 
     def candidates(self, h: np.ndarray, count: np.ndarray) -> set[tuple[int, int]]:
-        """(text, item) pairs of which a window shares a minimum; h are the texts' shingle hashes, count of them each."""
+        """(text, item) pairs of which a window shares a minimum, or the item's one shingle; h are the texts' shingle hashes, count of them each."""
         found: set[tuple[int, int]] = set()
         use = np.flatnonzero(count)
+        values, members = self.single
+        if len(values) and len(h):
+            hit = np.flatnonzero(np.isin(h, values))
+            text = np.searchsorted(np.cumsum(count), hit, "right")
+            lo, hi = np.searchsorted(values, h[hit], "left"), np.searchsorted(values, h[hit], "right")
+            found.update(zip(np.repeat(text, hi - lo).tolist(), members[ragged(lo, hi - lo)].tolist(), strict=True))
         if not len(use) or not self.classes:
             return found
         n = count[use]

@@ -135,6 +135,16 @@ def test_items_are_found_in_long_documents(spark):
     assert decontaminate.contaminated(d.limit(0), b).count() == 0
 
 
+def test_items_of_one_shingle_are_never_missed(spark):
+    rnd = random.Random(18)
+    items = [(i, " ".join(rnd.sample(WORDS, 5))) for i in range(300)]
+    docs = [(i, f"{' '.join(words(rnd, 300))} {item} {' '.join(words(rnd, 300))}") for i, item in items]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(i, j) for i, text in docs for j, item in items if shingles(item) <= shingles(text)}
+    assert len(want) >= 300
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, b).collect()} == want
+
+
 # Substrings
 
 
