@@ -65,6 +65,33 @@ def contains(ring: Column, x: Column, y: Column) -> Column:
     return F.size(crossed) % 2 == 1
 
 
+def _crossings(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Where, as fractions of a segment, it crosses a ring's sides; sides along it don't count."""
+
+    def at(p: Column) -> Column:
+        dx, dy, ex, ey = x1 - x0, y1 - y0, p["b"]["x"] - p["a"]["x"], p["b"]["y"] - p["a"]["y"]
+        wx, wy, turn = p["a"]["x"] - x0, p["a"]["y"] - y0, dx * ey - dy * ex
+        t, u = F.try_divide(wx * ey - wy * ex, turn), F.try_divide(wx * dy - wy * dx, turn)
+        return F.when(t.between(0, 1) & u.between(0, 1), t)
+
+    return F.filter(F.transform(_steps(ring), at), lambda t: t.isNotNull())
+
+
+def meets(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether a segment crosses a simple ring or lies in it."""
+    return (F.size(_crossings(ring, x0, y0, x1, y1)) > 0) | contains(ring, x0, y0)
+
+
+def inside_length(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Length of the part of a segment inside a simple ring, convex or not: it is cut where it crosses, and pieces count by their middles."""
+    cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), _crossings(ring, x0, y0, x1, y1)))
+    n = F.size(cuts) - 1
+    pieces = F.arrays_zip(F.slice(cuts, F.lit(1), n).alias("a"), F.slice(cuts, F.lit(2), n).alias("b"))
+    middle = lambda p: (p["a"] + p["b"]) / 2
+    held = F.filter(pieces, lambda p: contains(ring, x0 + middle(p) * (x1 - x0), y0 + middle(p) * (y1 - y0)))
+    return _sum(F.transform(held, lambda p: p["b"] - p["a"])) * F.sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2)
+
+
 def point_at(line: Column, distance: Column) -> Column:
     """The point at a distance along a line, its ends beyond it."""
     n = F.size(line)

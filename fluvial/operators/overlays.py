@@ -113,3 +113,34 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float) -> D
     cell = lambda c: F.floor(F.col(c) / size).cast("long")
     placed = points.where("x IS NOT NULL AND y IS NOT NULL").withColumns({"cx": cell("x"), "cy": cell("y")})
     return spread.join(placed, ["cx", "cy"]).where(geometry.contains(F.col("ring"), F.col("x"), F.col("y"))).select("polygon_id", "id")
+
+
+def _met(polygons: DataFrame, lines: DataFrame, size: float) -> DataFrame:
+    """polygon_id, ring and line_id, seg, x0, y0, x1, y1 of the segments that share a cell with a polygon's box."""
+    box = geometry.envelope(F.col("ring"))
+    spread = _spread(polygons.withColumn("e", box), F.col("e.x0"), F.col("e.x1"), F.col("e.y0"), F.col("e.y1"), size).select(F.col("id").alias("polygon_id"), "ring", "cx", "cy")
+    seg = segments(lines).withColumnRenamed("id", "line_id")
+    placed = _spread(seg, F.least("x0", "x1"), F.greatest("x0", "x1"), F.least("y0", "y1"), F.greatest("y0", "y1"), size)
+    return spread.join(placed, ["cx", "cy"]).dropDuplicates(["polygon_id", "line_id", "seg"])
+
+
+_SEGMENT = ("x0", "y0", "x1", "y1")
+
+
+def polygon_paths(polygons: DataFrame, lines: DataFrame, ancestors: DataFrame, least: float, size: float) -> DataFrame:
+    """id, line_id, x, y of each of polygons(id, ring): of lines(id, line) with more than the least length inside, the one of most ancestors(id, n), the greatest id on
+    ties; null without one. Lines that ancestors lacks don't count. x, y is the polygon's centroid."""
+    inside = geometry.inside_length(F.col("ring"), *map(F.col, _SEGMENT))
+    long = _met(polygons, lines, size).select("polygon_id", "line_id", inside.alias("inside")).groupBy("polygon_id", "line_id").agg(F.sum("inside").alias("inside")).where(F.col("inside") > least)
+    known = long.join(ancestors.select(F.col("id").alias("line_id"), "n"), "line_id")
+    best = arg_max(known.select("polygon_id", "line_id", "n"), ["polygon_id"], F.col("n"), F.col("line_id"))
+    out = polygons.select("id", geometry.centroid(F.col("ring")).alias("c")).join(best, F.col("id") == F.col("polygon_id"), "left")
+    return out.select("id", "line_id", F.col("c.x").alias("x"), F.col("c.y").alias("y"))
+
+
+def lake_paths(lakes: DataFrame, lines: DataFrame, size: float) -> DataFrame:
+    """id, line_id: all lines(id, line) that meet each of lakes(id, ring, line_id), or the line_id that a lake had before if none does."""
+    meets = geometry.meets(F.col("ring"), *map(F.col, _SEGMENT))
+    found = _met(lakes.select("id", "ring"), lines, size).where(meets).select(F.col("polygon_id").alias("id"), "line_id").distinct()
+    rest = lakes.join(found.select("id").distinct(), "id", "left_anti").select("id", "line_id")
+    return found.unionByName(rest)

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fluvial.plans import keyed, network, outlets, scalars, spatial, streams, zonal
+from fluvial.plans import keyed, network, outlets, scalars, spatial, streams, wiring, zonal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-for _module in (network, keyed, zonal, scalars, spatial, outlets, streams):
+for _module in (network, keyed, zonal, scalars, spatial, outlets, wiring, streams):
     QUERIES |= _module.register.queries
     ORACLES |= _module.register.oracles
