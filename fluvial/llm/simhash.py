@@ -13,8 +13,8 @@ documents (radius 20); two halves keep 2 ** 28 anchors at 34 replicas.
 Equal fingerprints are collapsed before they are replicated. At an anchor with many fingerprints a search that starts from one
 and compares with those not reached yet gives a spanning forest: no more links than fingerprints, whatever the number of pairs.
 
-`copies`, which the pipeline uses, goes by the Jaccard similarity of sets of five-word shingles instead: fingerprints of 256 bits, so
-that one of eight halves is close at a similarity of 0.8, the same anchors, and an exact check of the sets.
+`copies`, which the pipeline uses, goes by the Jaccard similarity of sets of five-word shingles instead: the sets are cut into parts, of
+which similar sets have one in common for sure (`Signatures`), and an exact check of the sets follows. That is exact too.
 
 Null and empty texts have fingerprint zero and link like any other; fewer than `width` words make one shingle. Rows that
 repeat are each labelled; a null doc_id never becomes a component's id unless it is alone. Empty tables give empty
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fluvial.llm.bits import different, mixed, simhashes
+from fluvial.llm.bits import different, mixed
 from fluvial.llm.common import materialize, partitions, ragged, sorted_groups, text_slices
 from fluvial.llm.components import connected_components
 from fluvial.llm.decontaminate import shingle_hashes
@@ -193,15 +193,15 @@ def as_hex(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-#: Copies: words of a shingle, Jaccard similarity of the sets of shingles, 64-bit words of a fingerprint and how many bits of one may differ.
-COPY_WIDTH, SIMILARITY, COPY_WORDS, MOST_CHECK = 5, 0.8, 4, 20
-#: A fingerprint at an anchor of one of its halves: the anchor, the text, and 64 other bits.
-ENTRY = np.dtype([("anchor", "<u4"), ("id", "<i8"), ("check", "<u8")])
-#: Fingerprints at an anchor over which links go from one to those near it only, not between all.
-CROWD = 64
-_CHECKED = np.array([sum(1 << (i - 1) for i in range(1, 32) if i >> k & 1) for k in range(5)], np.uint32)
-_FLIPS = np.array([row + [0] * (17 - len(row)) for row in _masks()], np.uint32)
-_ANCHORS = np.array([len(row) for row in _masks()])
+#: Copies: words of a shingle, and Jaccard similarity of the sets of shingles.
+COPY_WIDTH, SIMILARITY = 5, 0.8
+#: A signature of a text, and 96 bits of the digest of its words.
+ENTRY = np.dtype([("key", "<u8"), ("a", "<u8"), ("b", "<u4")])
+ENDS, DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")]), 12
+#: Texts of a signature over which they are first linked to one of them, and all pairs laid out only for those that are then still apart.
+CROWD = 16
+#: Pairs laid out at once.
+PAIRS = 1 << 20
 
 
 def shingle_sets(texts: list[bytes | None], width: int = COPY_WIDTH) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -210,119 +210,215 @@ def shingle_sets(texts: list[bytes | None], width: int = COPY_WIDTH) -> tuple[li
     flat = [w for ws in words for w in ws]
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, flat), np.uint64, len(flat))
     found, n = shingle_hashes(hashes, np.fromiter(map(len, words), np.int64, len(words)), width)
-    return [xxhash.xxh3_128_digest(b" ".join(ws)) for ws in words], *different(found, n)
+    return [xxhash.xxh3_128_digest(b" ".join(ws))[:DIGEST] for ws in words], *different(found, n)
 
 
-def copy_candidates(prints: DataFrame, most: int = MOST_CHECK) -> DataFrame:
-    """(a, b), a < b: pairs of prints(id, print) that meet at an anchor of a half and differ in at most `most` of 64 other bits.
+class Signatures:
+    """Signatures of sets, of which any two sets with Jaccard similarity `least` have one in common.
 
-    Every fingerprint goes to all anchors within 2 of each of its halves, and all that stand at an anchor are compared, so halves that differ in one bit
-    meet for sure, in two almost always, and in three or four now and then. Of a crowd at an anchor, each is linked to the first that it is near.
+    Sizes fall into classes so that similar sets are of one class or of neighbours; they meet in the larger's. Two sets there differ in at most k elements, in
+    both together. Each is dealt into m > k parts by its elements' hashes, so m - k parts or more are alike in both; a part's signature is the sum of its
+    elements' hashes. Empty parts count only for sets that have m - k of them: others have an alike part that isn't empty.
     """
-    spark = prints.sparkSession
+
+    def __init__(self, least: float):
+        self.least, self.lows, self.most = least, [1], []
+
+    def _classes(self, largest: int) -> None:
+        while self.lows[-1] <= largest / self.least + 1:
+            high = int(self.lows[-1] / self.least + 1e-9)
+            self.most.append(int((1 - self.least) / (1 + self.least) * 2 * high + 1e-9))
+            self.lows.append(high + 1)
+
+    def of(self, hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(set, signature) of sets of n different hashes each, one after the other."""
+        self._classes(int(n.max(initial=0)))
+        lows, most = np.array(self.lows), np.array(self.most)
+        spare = 1 + most // 6
+        own = np.searchsorted(lows, n, "right") - 1
+        reach = np.searchsorted(lows, np.floor(n / self.least + 1e-9), "right") - 1
+        first, sets, keys = np.cumsum(n) - n, [], []
+        for up in (0, 1):
+            row = np.flatnonzero((n > 0) & (own + up <= reach))
+            if not len(row):
+                continue
+            size = own[row] + up
+            parts = most[size] + spare[size]
+            begin = np.cumsum(parts) - parts
+            h = mixed(hashes[ragged(first[row], n[row])], 0)
+            slot = np.repeat(begin, n[row]) + (mixed(h, 1) % np.repeat(parts, n[row]).astype(np.uint64)).astype(np.int64)
+            total = int(parts.sum())
+            held = np.bincount(slot, minlength=total)
+            # Sums of 32 bits are exact as doubles.
+            low, high = (np.bincount(slot, x.astype(np.float64), total).astype(np.uint64) for x in (h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)))
+            place = np.repeat(size, parts).astype(np.uint64) << np.uint64(40) | ragged(np.zeros(len(row), np.int64), parts).astype(np.uint64)
+            key = mixed((low + (high << np.uint64(32))) ^ mixed(place, 2), 3)
+            empty = np.add.reduceat((held == 0).astype(np.int64), begin)
+            use = (held > 0) | np.repeat(empty >= spare[size], parts)
+            sets.append(np.repeat(row, parts)[use])
+            keys.append(key[use])
+        return np.concatenate([np.zeros(0, np.int64), *sets]), np.concatenate([np.zeros(0, np.uint64), *keys])
+
+
+def _ends(entries: np.ndarray) -> np.ndarray:
+    """The digests of entries."""
+    held = np.empty(len(entries), ENDS)
+    held["a"], held["b"] = entries["a"], entries["b"]
+    return held
+
+
+def _digests(entries: np.ndarray) -> pa.Array:
+    held = _ends(entries)
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(DIGEST), len(held), [None, pa.py_buffer(held.tobytes())]).cast(pa.binary())
+
+
+def _all_pairs(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j), i < j, of all pairs inside each group, some PAIRS at once."""
+    row = ragged(starts, sizes)
+    after = np.repeat(starts + sizes, sizes) - row - 1
+    ends, at = np.cumsum(after), 0
+    while at < len(row):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+        yield np.repeat(row[at:stop], after[at:stop]), ragged(row[at:stop] + 1, after[at:stop])
+        at = stop
+
+
+def copy_meetings(signed: DataFrame) -> DataFrame:
+    """(key, a, b) of texts with a signature in common, signed(digest, keys): their pairs where few have one, with a null key; of a crowd, each with the first, with its key."""
+    spark = signed.sparkSession
     parts = 4 * partitions(spark)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            ids, words = batch.column("id").to_numpy(), np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint64).reshape(len(batch), -1)
-            halves = words.view(np.uint32)
-            for h in range(halves.shape[1]):
-                value = halves[:, h]
-                syndrome = sum((np.bitwise_count(value & c).astype(np.int64) & 1) << k for k, c in enumerate(_CHECKED))
-                count = _ANCHORS[syndrome]
-                out = np.zeros(int(count.sum()), ENTRY)
-                out["anchor"] = (value[:, None] ^ _FLIPS[syndrome])[np.arange(_FLIPS.shape[1]) < count[:, None]]
-                out["id"], out["check"] = np.repeat(ids, count), np.repeat(words[:, (h // 2 + 1) % words.shape[1]], count)
-                part = h * parts + (mixed(out["anchor"].astype(np.uint64), h) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                part, out = part[order], out[order]
-                cuts = np.flatnonzero(np.diff(part, prepend=-1))
-                yield pa.RecordBatch.from_arrays([pa.array(part[cuts].astype(np.int32)), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
+            digests = np.frombuffer(b"".join(batch.column("digest").to_pylist()), ENDS)
+            held = batch.column("keys").to_pylist()
+            out = np.empty(sum(map(len, held)) // 8, ENTRY)
+            row = np.repeat(np.arange(len(held)), [len(x) // 8 for x in held])
+            out["key"], out["a"], out["b"] = np.frombuffer(b"".join(held), np.uint64), digests["a"][row], digests["b"][row]
+            part = (out["key"] >> np.uint64(32)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            part, out = part[order].astype(np.int32), out[order]
+            cuts = np.flatnonzero(np.diff(part, prepend=-1))
+            if len(cuts):
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, starts, sizes in sorted_groups(batches, "part"):
             for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
                 entries = np.frombuffer(b"".join(batch.column("entries").slice(s, n).to_pylist()), ENTRY)
-                entries = entries[np.lexsort((entries["id"], entries["anchor"]))]
-                begins = np.concatenate(([0], np.flatnonzero(np.diff(entries["anchor"])) + 1))
+                keys = entries["key"].copy()
+                order = np.argsort(keys)
+                same = np.diff(keys[order]) == 0
+                entries = entries[order[np.append(same, False) | np.insert(same, 0, False)]]
+                entries = entries[np.lexsort((entries["b"], entries["a"], entries["key"]))]
+                new = np.ones(len(entries), bool)
+                new[1:] = entries[1:] != entries[:-1]
+                entries = entries[new]
+                if not len(entries):
+                    continue
+                begins = np.concatenate(([0], np.flatnonzero(np.diff(entries["key"])) + 1))
                 count = np.diff(np.append(begins, len(entries)))
-                a, b = _near(np.ascontiguousarray(entries["id"]), np.ascontiguousarray(entries["check"]), begins[count > 1], count[count > 1], most)
-                if len(a):
-                    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
-    dealt = prints.mapInArrow(pack, "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(meet, "a long, b long").distinct()
-
-
-def _near(ids: np.ndarray, check: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    few = sizes <= CROWD
-    s, n = starts[few], sizes[few]
-    row = ragged(s, n)
-    after = np.repeat(s + n, n) - row - 1
-    i, j = np.repeat(row, after), ragged(row + 1, after)
-    near = np.bitwise_count(check[i] ^ check[j]) <= most
-    left, right = [ids[i[near]]], [ids[j[near]]]
-    for s, n in zip(starts[~few].tolist(), sizes[~few].tolist(), strict=True):
-        rest = np.arange(s, s + n)
-        while len(rest):
-            head, rest = rest[0], rest[1:]
-            close = np.bitwise_count(check[rest] ^ check[head]) <= most
-            left.append(np.full(close.sum(), ids[head]))
-            right.append(ids[rest[close]])
-            rest = rest[~close]
-    return np.concatenate(left), np.concatenate(right)
+                few = (count > 1) & (count <= CROWD)
+                for i, j in _all_pairs(begins[few], count[few]):
+                    order = np.lexsort((entries["a"][j], entries["a"][i]))
+                    left, right = _ends(entries[i[order]]), _ends(entries[j[order]])
+                    new = np.ones(len(left), bool)
+                    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
+                    yield pa.RecordBatch.from_arrays([pa.nulls(int(new.sum()), pa.int64()), _digests(left[new]), _digests(right[new])], ["key", "a", "b"])
+                many = count > CROWD
+                if many.any():
+                    row, head = ragged(begins[many], count[many]), np.repeat(begins[many], count[many])
+                    yield pa.RecordBatch.from_arrays([pa.array(entries["key"][row].view(np.int64)), _digests(entries[row]), _digests(entries[head])], ["key", "a", "b"])
+
+    dealt = signed.mapInArrow(pack, "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(meet, "key long, a binary, b binary")
+
+
+def _laid_out(crowds: DataFrame) -> DataFrame:
+    """(a, b): all pairs of crowds(key, a, of) that share a key and are of different groups."""
+
+    def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, starts, sizes in sorted_groups(batches, "key"):
+            a, of = batch.column("a"), batch.column("of").dictionary_encode().indices.to_numpy()
+            for i, j in _all_pairs(starts, sizes):
+                apart = of[i] != of[j]
+                if apart.any():
+                    yield pa.RecordBatch.from_arrays([a.take(pa.array(i[apart])), a.take(pa.array(j[apart]))], ["a", "b"])
+
+    dealt = crowds.select("key", "a", "of").repartition(partitions(crowds.sparkSession), "key").sortWithinPartitions("key")
+    found = dealt.mapInArrow(lay, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
     """doc_id, component_id (the smallest doc_id of its group) of every row of docs(doc_id, text): texts link if their sets of shingles have Jaccard similarity `least`.
 
-    Candidates come from the anchors; each is verified on the whole sets. Texts of the same words, but for case and white space, are one from the start.
+    Candidates come from `Signatures`, so none is missed; each is verified on the whole sets. Texts of the same words, but for case and white space, are one from the start.
+    A crowd at a signature is first linked to one of its texts, then those still apart to the first of each signature, then all pairs of those still apart are verified.
     """
 
-    def fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signatures = Signatures(least)
         for batch in batches:
             for at, texts in text_slices(batch):
                 digests, hashes, n = shingle_sets(texts, width)
-                some = np.flatnonzero(n)
-                prints = np.zeros((len(texts), 8 * COPY_WORDS), np.uint8)
-                prints[some] = simhashes(hashes, n[some], COPY_WORDS)
-                held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * COPY_WORDS), len(texts), [None, pa.py_buffer(prints)]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(digests, pa.binary()), held], ["doc_id", "digest", "print"])
+                row, keys = signatures.of(hashes, n)
+                order = np.argsort(row, kind="stable")
+                blobs = [x.tobytes() for x in np.split(keys[order], np.cumsum(np.bincount(row, minlength=len(texts)))[:-1])]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary())], ["doc_id", "digest", "keys"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
         for batch in batches:
             for _, texts in text_slices(batch):
                 digests, hashes, n = shingle_sets(texts, width)
-                slot = np.frombuffer(b"".join(digests), ">u4")[::4] >> 32 - MAP_BITS
+                slot = np.frombuffer(b"".join(digests), ">u4")[:: DIGEST // 4] >> 32 - MAP_BITS
                 use = np.flatnonzero((wanted[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
                 ends = np.cumsum(n)
                 rows = [hashes[ends[i] - n[i] : ends[i]].view(np.int64) for i in use.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in use.tolist()], pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["digest", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    light = materialize(texts.mapInArrow(fingerprinted, "doc_id long, digest binary, print binary"), "copy-prints")
-    distinct = light.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("print").alias("print")).withColumn("id", F.monotonically_increasing_id())
-    distinct = materialize(distinct, "copy-distinct")
-    pairs = materialize(copy_candidates(distinct.select("id", "print")), "copy-pairs")
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = materialize(distinct.join(ends, "id").select("id", "digest"), "copy-wanted")
+    light = materialize(texts.mapInArrow(signed, "doc_id long, digest binary, keys binary"), "copy-signatures")
+    met = materialize(copy_meetings(light.select("digest", "keys")), "copy-meetings")
+    crowds = met.where("key IS NOT NULL")
+    firsts = crowds.groupBy("a").agg(F.min("b").alias("b")).where("a <> b")
+    pairs = materialize(met.where("key IS NULL").select("a", "b").union(firsts.select(F.least("a", "b"), F.greatest("a", "b"))).distinct(), "copy-pairs")
+    wanted = materialize(pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).union(crowds.select("a")).distinct(), "copy-wanted")
     slot = F.shiftright(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), 32 - MAP_BITS)
     found = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(slot & 7 as int))")).alias("bits")).toArrow()
     flags = np.zeros(1 << (MAP_BITS - 3), np.uint8)
     flags[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(flags)
-    held = texts.mapInArrow(sets, "digest binary, shingles array<long>").groupBy("digest").agg(F.first("shingles").alias("shingles")).join(wanted, "digest")
-    held = materialize(held.select("id", "shingles"), "copy-shingles")
-    of = lambda x: held.select(F.col("id").alias(x), F.col("shingles").alias(f"s{x}"))
+    held = texts.mapInArrow(sets, "digest binary, shingles array<long>").groupBy("digest").agg(F.first("shingles").alias("shingles")).join(wanted, "digest", "left_semi")
+    held = materialize(held, "copy-shingles")
+    of = lambda x: held.select(F.col("digest").alias(x), F.col("shingles").alias(f"s{x}"))
     common = F.size(F.array_intersect("sa", "sb"))
     close = F.least(F.size("sa"), F.size("sb")) >= least * F.greatest(F.size("sa"), F.size("sb")) - 1e-9
-    linked = pairs.join(of("a"), "a").join(of("b"), "b").where(close).where(common >= least * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        both = pairs.join(of("a"), "a").join(of("b"), "b").where(close)
+        return materialize(both.where(common >= least * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b"), label)
+
+    def apart(roots: DataFrame) -> DataFrame:
+        """The crowds of which not all are in one group."""
+        grouped = crowds.join(roots, crowds["a"] == roots["node"], "left").select("key", "a", "b", F.coalesce("root", "a").alias("of"))
+        mixed_keys = grouped.groupBy("key").agg(F.min("of").alias("one"), F.max("of").alias("other")).where("one <> other").select("key")
+        return materialize(grouped.join(mixed_keys, "key"), "copy-crowds")
+
+    linked = verified(pairs, "copy-links")
     roots = connected_components(linked, "a", "b")
-    grown = materialize(distinct.join(roots, distinct["id"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "id").alias("root")), "copy-roots")
+    if not crowds.isEmpty():
+        still = apart(roots)
+        heads = still.join(roots.select(F.col("node").alias("b"), "root"), "b", "left").where(F.col("of") != F.coalesce("root", "b"))
+        linked = linked.union(verified(heads.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "copy-links"))
+        roots = connected_components(linked, "a", "b")
+        linked = linked.union(verified(_laid_out(apart(roots)), "copy-links"))
+        roots = connected_components(linked, "a", "b")
+    distinct = light.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    grown = materialize(distinct.join(roots, distinct["digest"] == roots["node"], "left").select("digest", "least", F.coalesce("root", "digest").alias("root")), "copy-roots")
     label = materialize(grown.join(grown.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("digest", "component_id"), "copy-labels")
     return light.select("doc_id", "digest").join(label, "digest").select("doc_id", "component_id")
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
-from fluvial.llm import line_dedup
+import numpy as np
+import pytest
+
+from fluvial.llm import line_dedup, simhash
 
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu", "ra", "so", "ti") for b in ("ba", "co", "di", "fe", "gu", "ha")]
 
@@ -21,3 +24,53 @@ def test_lines_with_changed_words_are_linked_by_edit_similarity_alone(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = {(d, d - d % 2) for d, _ in rows}
     assert {(r.doc_id, r.group_doc_id) for r in line_dedup.repeated_lines(df).collect()} == want
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_similar_sets_have_a_signature_in_common():
+    rnd, signatures, found = np.random.default_rng(3), simhash.Signatures(0.8), 0
+    for _ in range(3000):
+        n = int(rnd.integers(1, 60)) if rnd.random() < 0.7 else int(rnd.integers(60, 900))
+        a = rnd.integers(0, 1 << 48, n, dtype=np.uint64)
+        gone = int(rnd.integers(0, n // 5 + 1))
+        b = np.concatenate([a[gone:], rnd.integers(0, 1 << 48, int(rnd.integers(0, max(1, n // 4 - gone) + 1)), dtype=np.uint64)])
+        if len(b) and jaccard(set(a.tolist()), set(b.tolist())) >= 0.8:
+            found += 1
+            row, keys = signatures.of(np.concatenate([a, b]), np.array([len(a), len(b)]))
+            assert set(keys[row == 0].tolist()) & set(keys[row == 1].tolist()), (len(a), len(b))
+    assert found > 1500
+
+
+@pytest.mark.parametrize("crowd", [16, 2])
+def test_copies_in_a_crowd_are_exact(spark, monkeypatch, crowd):
+    """Families that lean on one text without being similar to it, in chains: links that a text's nearest or a crowd's first do not show."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rnd, texts = random.Random(9), []
+    for n in (12, 40, 150):
+        base = [rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(n)]
+        for _ in range(4):
+            here = list(base)
+            for _ in range(12):
+                for k in range(max(1, n // 60)):
+                    here[rnd.randrange(n)] = rnd.choice(WORDS) + rnd.choice(WORDS)
+                texts.append(" ".join(here))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if jaccard(sets[i], sets[j]) >= 0.8 - 1e-9:
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    got = {r.doc_id: r.component_id for r in simhash.copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = {i: find(i) for i in range(len(texts))}
+    assert len(set(want.values())) > 20
+    assert got == want
