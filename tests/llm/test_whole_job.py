@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fluvial.llm import line_dedup, simhash
@@ -74,3 +75,29 @@ def test_copies_in_a_crowd_are_exact(spark, monkeypatch, crowd):
     want = {i: find(i) for i in range(len(texts))}
     assert len(set(want.values())) > 20
     assert got == want
+
+
+def test_pair_counts_never_part_similar_lines():
+    rnd = random.Random(8)
+    lines = []
+    for _ in range(400):
+        a = "".join(rnd.choice("ab cdé") for _ in range(rnd.randrange(1, 90)))
+        b = list(a)
+        for _ in range(int(0.2 * len(a))):
+            k = rnd.randrange(len(b) + 1)
+            b[k : k + rnd.randrange(2)] = rnd.choice(["", "x", "a"])
+        lines += [a, "".join(b)]
+    counts, size = line_dedup.pair_counts(lines), np.array(list(map(len, lines)))
+    allowed = line_dedup.counts_allow(counts[::2], counts[1::2], size[::2], size[1::2], 0.8)
+    similar = [line_dedup.similar(a, b) for a, b in zip(lines[::2], lines[1::2], strict=True)]
+    assert sum(similar) > 200 and all(allowed[np.flatnonzero(similar)])
+
+
+def test_long_lines_with_few_word_pairs_in_common_are_compared():
+    """Each second word changed in one letter: a similarity of 0.9, though hardly a pair of words stays; met lines are judged by their texts alone."""
+    rnd = random.Random(11)
+    words = [rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(60)]
+    texts = [" ".join(words), " ".join(w if k % 2 else "x" + w[1:] for k, w in enumerate(words))]
+    comparison = line_dedup.Comparison(line_dedup.Kinds(line_dedup.Plan.of(2), line_dedup.Plan.of(2), 1), 0.8)
+    comparison.lines, comparison.of, comparison.left, comparison.right, comparison.pairs = pa.array(texts), np.arange(2), [], [], {}
+    assert line_dedup.similar(*texts) and comparison.compare(0, 1)
