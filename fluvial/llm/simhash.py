@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluvial.llm.bits import different, mixed
-from fluvial.llm.common import materialize, partitions, ragged, sorted_groups, text_slices
+from fluvial.llm.common import materialize, partitions, ragged, settled, sorted_groups, text_slices
 from fluvial.llm.components import connected_components
 from fluvial.llm.decontaminate import shingle_hashes
 
@@ -204,6 +204,10 @@ CROWD = 16
 PAIRS = 1 << 20
 
 
+def words_digest(text: bytes | None) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join((text or b"").lower().split()))[:DIGEST]
+
+
 def shingle_sets(texts: list[bytes | None], width: int = COPY_WIDTH) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Digest of each text's words; the different hashes of its shingles, text after text, and how many each has."""
     words = [(t or b"").lower().split() for t in texts]
@@ -283,26 +287,28 @@ def _all_pairs(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarr
         at = stop
 
 
-def copy_meetings(signed: DataFrame) -> DataFrame:
-    """(key, a, b) of texts with a signature in common, signed(digest, keys): their pairs where few have one, with a null key; of a crowd, each with the first, with its key."""
-    spark = signed.sparkSession
+def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
+    """(key, a, b) of rows of texts(text) with a signature in common: their pairs where few have one, with a null key; of a crowd, each with the first, with its key.
+
+    The signatures go to their parts as packed arrays, straight from the texts: they are never laid down as a table.
+    """
+    spark = texts.sparkSession
     parts = 4 * partitions(spark)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signatures = Signatures(least)
         for batch in batches:
-            if not len(batch):
-                continue
-            digests = np.frombuffer(b"".join(batch.column("digest").to_pylist()), ENDS)
-            held = batch.column("keys").to_pylist()
-            out = np.empty(sum(map(len, held)) // 8, ENTRY)
-            row = np.repeat(np.arange(len(held)), [len(x) // 8 for x in held])
-            out["key"], out["a"], out["b"] = np.frombuffer(b"".join(held), np.uint64), digests["a"][row], digests["b"][row]
-            part = (out["key"] >> np.uint64(32)) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            part, out = part[order].astype(np.int32), out[order]
-            cuts = np.flatnonzero(np.diff(part, prepend=-1))
-            if len(cuts):
-                yield pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
+            for _, some in text_slices(batch):
+                digests, hashes, n = shingle_sets(some, width)
+                row, keys = signatures.of(hashes, n)
+                ends = np.frombuffer(b"".join(digests), ENDS)
+                part = (keys >> np.uint64(32)) % np.uint64(parts)
+                order = np.argsort(part, kind="stable")
+                part, row, out = part[order].astype(np.int32), row[order], np.empty(len(keys), ENTRY)
+                out["key"], out["a"], out["b"] = keys[order], ends["a"][row], ends["b"][row]
+                cuts = np.flatnonzero(np.diff(part, prepend=-1))
+                if len(cuts):
+                    yield pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, starts, sizes in sorted_groups(batches, "part"):
@@ -332,7 +338,7 @@ def copy_meetings(signed: DataFrame) -> DataFrame:
                     row, head = ragged(begins[many], count[many]), np.repeat(begins[many], count[many])
                     yield pa.RecordBatch.from_arrays([pa.array(entries["key"][row].view(np.int64)), _digests(entries[row]), _digests(entries[head])], ["key", "a", "b"])
 
-    dealt = signed.mapInArrow(pack, "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
+    dealt = texts.select("text").mapInArrow(pack, "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
     return dealt.mapInArrow(meet, "key long, a binary, b binary")
 
 
@@ -359,15 +365,10 @@ def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY)
     A crowd at a signature is first linked to one of its texts, then those still apart to the first of each signature, then all pairs of those still apart are verified.
     """
 
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        signatures = Signatures(least)
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, texts in text_slices(batch):
-                digests, hashes, n = shingle_sets(texts, width)
-                row, keys = signatures.of(hashes, n)
-                order = np.argsort(row, kind="stable")
-                blobs = [x.tobytes() for x in np.split(keys[order], np.cumsum(np.bincount(row, minlength=len(texts)))[:-1])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(digests, pa.binary()), pa.array(blobs, pa.binary())], ["doc_id", "digest", "keys"])
+            for at, some in text_slices(batch):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(some)), pa.array(map(words_digest, some), pa.binary())], ["doc_id", "digest"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
@@ -381,8 +382,8 @@ def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY)
                 yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in use.tolist()], pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["digest", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    light = materialize(texts.mapInArrow(signed, "doc_id long, digest binary, keys binary"), "copy-signatures")
-    met = materialize(copy_meetings(light.select("digest", "keys")), "copy-meetings")
+    light = materialize(texts.mapInArrow(known, "doc_id long, digest binary"), "copy-digests")
+    met = materialize(copy_meetings(texts, width, least), "copy-meetings")
     crowds = met.where("key IS NOT NULL")
     firsts = crowds.groupBy("a").agg(F.min("b").alias("b")).where("a <> b")
     pairs = materialize(met.where("key IS NULL").select("a", "b").union(firsts.select(F.least("a", "b"), F.greatest("a", "b"))).distinct(), "copy-pairs")
@@ -425,6 +426,10 @@ def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY)
 
 def keep_one(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its group of copies; rows that share an id are one document and stay together."""
-    found = copies(docs, width, least)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_id")).distinct()
+
+    def firsts() -> DataFrame:
+        found = copies(docs, width, least)
+        return found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_id")).distinct()
+
+    kept = settled(firsts, "copies-kept")
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["nd_id"]), "left_semi")
