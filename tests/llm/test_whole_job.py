@@ -101,3 +101,38 @@ def test_long_lines_with_few_word_pairs_in_common_are_compared():
     comparison = line_dedup.Comparison(line_dedup.Kinds(line_dedup.Plan.of(2), line_dedup.Plan.of(2), 1), 0.8)
     comparison.lines, comparison.of, comparison.left, comparison.right, comparison.pairs = pa.array(texts), np.arange(2), [], [], {}
     assert line_dedup.similar(*texts) and comparison.compare(0, 1)
+
+
+def test_run_counts_never_part_similar_lines():
+    rnd = random.Random(18)
+    lines = []
+    for _ in range(600):
+        a = "".join(rnd.choice("ab cdé") for _ in range(rnd.randrange(1, 250)))
+        b = list(a)
+        for _ in range(int(0.2 * len(a))):
+            k = rnd.randrange(len(b) + 1)
+            b[k : k + rnd.randrange(2)] = rnd.choice(["", "x", "a"])
+        lines += [a, "".join(b)]
+    runs, size = line_dedup.run_counts(lines), np.array(list(map(len, lines)))
+    assert all(runs.sum(axis=1) == size)
+    bits = np.packbits(runs > 0, axis=1).view(np.uint64)
+    similar = np.flatnonzero([line_dedup.similar(a, b) for a, b in zip(lines[::2], lines[1::2], strict=True)])
+    assert len(similar) > 200
+    assert all(line_dedup.counts_allow(runs[::2], runs[1::2], size[::2], size[1::2], 0.8, 3)[similar])
+    assert all(line_dedup.runs_allow(bits[::2], bits[1::2], size[::2], size[1::2], 0.8)[similar])
+
+
+def test_lines_that_cannot_be_similar_are_not_compared_as_texts(monkeypatch):
+    """Short and long lines of one meeting: lengths and runs of characters tell most of them apart."""
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(n)) for n in (9, 9, 10, 14, 20, 40)]
+    texts.append(texts[0][:-1] + "x")
+    plan = line_dedup.Plan.of(2)
+    sims = pa.array([b"\0" * 8 * plan.words] * len(texts), pa.binary())
+    columns = {"id": list(range(7)), "of": list(range(7)), "meeting": [0] * 7, "by_words": sims, "by_chars": pa.array([len(t.split()) < 12 and b"\0" * 8 * plan.words or None for t in texts], pa.binary()), "line": texts}
+    met = []
+    monkeypatch.setattr(line_dedup, "similar", lambda a, b, least, plain=line_dedup.similar: met.append((a, b)) or plain(a, b, least))
+    comparison = line_dedup.Comparison(line_dedup.Kinds(plan, plan, 1), 0.8)
+    left, right = comparison.run(pa.RecordBatch.from_pydict(columns), np.array([0]), np.array([7]))
+    assert (left, right) == ([0], [6])
+    assert met == [(texts[0], texts[6])]
