@@ -115,6 +115,7 @@ def test_run_counts_never_part_similar_lines():
         lines += [a, "".join(b)]
     runs, size = line_dedup.run_counts(lines), np.array(list(map(len, lines)))
     assert all(runs.sum(axis=1) == size)
+    assert line_dedup.run_counts([]).shape == (0, line_dedup.RUN_COUNTERS)
     bits = np.packbits(runs > 0, axis=1).view(np.uint64)
     similar = np.flatnonzero([line_dedup.similar(a, b) for a, b in zip(lines[::2], lines[1::2], strict=True)])
     assert len(similar) > 200
