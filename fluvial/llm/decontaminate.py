@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluvial.llm.common import WordHashes, ragged, text_slices
+from fluvial.llm.common import WordHashes, ragged, text_slices, trimmed
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -205,7 +205,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, t
                             ["doc_id", "item_id", "n_shingles", "n_matched", "containment"],
                         )
 
-        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, OUT)
+        found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), OUT)
         out = found if out is None else out.union(found)
     return spark.createDataFrame([], OUT) if out is None else out
 
@@ -224,7 +224,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, threshol
                     good[[at + t for t, _, _ in index.search(texts, hasher)]] = False
                 yield batch.filter(pa.array(good))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(trimmed(run), docs.schema)
     return docs
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fluvial.llm.common import CACHE_WORDS, text_slices
+from fluvial.llm.common import CACHE_WORDS, text_slices, trimmed
 
 UND = "und"
 #: Documents of each language in the fitted sample, and buckets of hashed n-grams. All languages are learned; each takes 256 kB.
@@ -142,7 +142,7 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
             at = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(held[at].astype(np.int64))], ["lang", "bucket", "n"])
 
-    counted = train.where(dealt < F.col("share")).drop("share").mapInArrow(count, "lang string, bucket long, n long")
+    counted = train.where(dealt < F.col("share")).drop("share").mapInArrow(trimmed(count), "lang string, bucket long, n long")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(found.column("lang").to_pylist()), key=lambda s: s.encode())
     held = np.zeros((BUCKETS + SCRIPTS, len(languages)))
@@ -268,7 +268,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH, keep: list[
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
     schema = StructType([*fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col("text").alias("id_text")).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{f.name}`") for f in fields), F.col("text").alias("id_text")).mapInArrow(trimmed(run), schema)
 
 
 def spans(docs: DataFrame, model: Model, penalty: float = SWITCH) -> DataFrame:
@@ -283,4 +283,4 @@ def spans(docs: DataFrame, model: Model, penalty: float = SWITCH) -> DataFrame:
                 row, first, last, lang = zip(*found, strict=True) if found else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(lang, pa.string())], ["doc_id", "first_word", "last_word", "lang"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, first_word int, last_word int, lang string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), "doc_id long, first_word int, last_word int, lang string")

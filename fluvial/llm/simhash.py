@@ -28,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluvial.llm.bits import different, mixed
-from fluvial.llm.common import materialize, partitions, ragged, settled, sorted_groups, text_slices
+from fluvial.llm.common import materialize, partitions, ragged, settled, sorted_groups, text_slices, trimmed
 from fluvial.llm.components import connected_components
 from fluvial.llm.decontaminate import shingle_hashes
 
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 fp = np.array([fingerprint(t, width) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(fp)], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def _masks() -> list[list[int]]:
@@ -174,7 +174,7 @@ def links(distinct: DataFrame, most: int = MOST_BITS) -> DataFrame:
 
     spread = distinct.select("fp", F.explode(anchors(F.col("fp"))).alias("x")).select("fp", "x.anchor", "x.home")
     spread = spread.repartition(partitions(distinct.sparkSession), "anchor").sortWithinPartitions("anchor")
-    return spread.mapInArrow(compare, "a long, b long")
+    return spread.mapInArrow(trimmed(compare), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, most: int = MOST_BITS) -> DataFrame:
@@ -198,6 +198,8 @@ COPY_WIDTH, SIMILARITY = 5, 0.8
 #: A signature of a text, and 96 bits of the digest of its words.
 ENTRY = np.dtype([("key", "<u8"), ("a", "<u8"), ("b", "<u4")])
 ENDS, DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")]), 12
+#: Bits of a signature that say its class.
+LEVEL_BITS = np.uint64(7)
 #: Texts of a signature over which they are first linked to one of them, and all pairs laid out only for those that are then still apart.
 CROWD = 16
 #: Pairs laid out at once.
@@ -218,11 +220,12 @@ def shingle_sets(texts: list[bytes | None], width: int = COPY_WIDTH) -> tuple[li
 
 
 class Signatures:
-    """Signatures of sets, of which any two sets with Jaccard similarity `least` have one in common.
+    """Signatures of sets, of which any two sets with Jaccard similarity `least` have `needed` in common.
 
     Sizes fall into classes so that similar sets are of one class or of neighbours; they meet in the larger's. Two sets there differ in at most k elements, in
-    both together. Each is dealt into m > k parts by its elements' hashes, so m - k parts or more are alike in both; a part's signature is the sum of its
-    elements' hashes. Empty parts count only for sets that have m - k of them: others have an alike part that isn't empty.
+    both together. Each is dealt into m parts by its elements' hashes, so m - k parts or more are alike in both; a part's signature is the sum of its
+    elements' hashes, and the class. Parts of few elements are alike in many sets that are not: of each set the `dropped` parts of fewest elements, in an order
+    that alike parts have in common, give none. The strongest m - k - dropped of the alike parts have so many weaker ones in either set, so they stay in both.
     """
 
     def __init__(self, least: float):
@@ -234,11 +237,17 @@ class Signatures:
             self.most.append(int((1 - self.least) / (1 + self.least) * 2 * high + 1e-9))
             self.lows.append(high + 1)
 
+    def needed(self, levels: np.ndarray) -> np.ndarray:
+        """How many signatures of a class similar sets have in common at least."""
+        while len(self.most) <= levels.max(initial=0):
+            self._classes(self.lows[-1])
+        return 1 + np.array(self.most, np.int64)[levels] // 8
+
     def of(self, hashes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(set, signature) of sets of n different hashes each, one after the other."""
+        """(set, signature) of sets of n different hashes each, one after the other; a signature's last bits are its class."""
         self._classes(int(n.max(initial=0)))
-        lows, most = np.array(self.lows), np.array(self.most)
-        spare = 1 + most // 6
+        lows, most = np.array(self.lows), np.array(self.most, np.int64)
+        dropped = 2 + most // 4
         own = np.searchsorted(lows, n, "right") - 1
         reach = np.searchsorted(lows, np.floor(n / self.least + 1e-9), "right") - 1
         first, sets, keys = np.cumsum(n) - n, [], []
@@ -247,7 +256,7 @@ class Signatures:
             if not len(row):
                 continue
             size = own[row] + up
-            parts = most[size] + spare[size]
+            parts = most[size] + self.needed(size) + dropped[size]
             begin = np.cumsum(parts) - parts
             h = mixed(hashes[ragged(first[row], n[row])], 0)
             slot = np.repeat(begin, n[row]) + (mixed(h, 1) % np.repeat(parts, n[row]).astype(np.uint64)).astype(np.int64)
@@ -255,12 +264,14 @@ class Signatures:
             held = np.bincount(slot, minlength=total)
             # Sums of 32 bits are exact as doubles.
             low, high = (np.bincount(slot, x.astype(np.float64), total).astype(np.uint64) for x in (h & np.uint64(0xFFFFFFFF), h >> np.uint64(32)))
-            place = np.repeat(size, parts).astype(np.uint64) << np.uint64(40) | ragged(np.zeros(len(row), np.int64), parts).astype(np.uint64)
+            level = np.repeat(size, parts).astype(np.uint64)
+            place = level << np.uint64(40) | ragged(np.zeros(len(row), np.int64), parts).astype(np.uint64)
             key = mixed((low + (high << np.uint64(32))) ^ mixed(place, 2), 3)
-            empty = np.add.reduceat((held == 0).astype(np.int64), begin)
-            use = (held > 0) | np.repeat(empty >= spare[size], parts)
+            weakest = np.repeat(np.arange(len(row), dtype=np.uint64), parts) << np.uint64(40) | held.clip(max=255).astype(np.uint64) << np.uint64(32) | key >> np.uint64(32)
+            use = np.ones(total, bool)
+            use[np.argsort(weakest, kind="stable")[ragged(begin, dropped[size])]] = False
             sets.append(np.repeat(row, parts)[use])
-            keys.append(key[use])
+            keys.append((key >> LEVEL_BITS << LEVEL_BITS | level)[use])
         return np.concatenate([np.zeros(0, np.int64), *sets]), np.concatenate([np.zeros(0, np.uint64), *keys])
 
 
@@ -288,9 +299,9 @@ def _all_pairs(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarr
 
 
 def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
-    """(key, a, b) of rows of texts(text) with a signature in common: their pairs where few have one, with a null key; of a crowd, each with the first, with its key.
+    """(key, a, b, n, needed) of rows of texts(text) with a signature in common: their pairs where few have one, with a null key; of a crowd, each with the first, with its key.
 
-    The signatures go to their parts as packed arrays, straight from the texts: they are never laid down as a table.
+    A pair has n signatures in common, here and in other rows of the same `needed`; similar texts have so many, or are in a crowd together. The signatures go to their parts as packed arrays, straight from the texts: they are never laid down as a table.
     """
     spark = texts.sparkSession
     parts = 4 * partitions(spark)
@@ -311,6 +322,7 @@ def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMI
                     yield pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signatures, names = Signatures(least), ["key", "a", "b", "n", "needed"]
         for batch, starts, sizes in sorted_groups(batches, "part"):
             for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
                 entries = np.frombuffer(b"".join(batch.column("entries").slice(s, n).to_pylist()), ENTRY)
@@ -327,19 +339,21 @@ def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMI
                 begins = np.concatenate(([0], np.flatnonzero(np.diff(entries["key"])) + 1))
                 count = np.diff(np.append(begins, len(entries)))
                 few = (count > 1) & (count <= CROWD)
+                needed = signatures.needed((entries["key"] & np.uint64((1 << int(LEVEL_BITS)) - 1)).astype(np.int64)).astype(np.int32)
                 for i, j in _all_pairs(begins[few], count[few]):
-                    order = np.lexsort((entries["a"][j], entries["a"][i]))
-                    left, right = _ends(entries[i[order]]), _ends(entries[j[order]])
+                    order = np.lexsort((needed[i], entries["a"][j], entries["a"][i]))
+                    left, right, own = _ends(entries[i[order]]), _ends(entries[j[order]]), needed[i[order]]
                     new = np.ones(len(left), bool)
-                    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1])
-                    yield pa.RecordBatch.from_arrays([pa.nulls(int(new.sum()), pa.int64()), _digests(left[new]), _digests(right[new])], ["key", "a", "b"])
+                    new[1:] = (left[1:] != left[:-1]) | (right[1:] != right[:-1]) | (own[1:] != own[:-1])
+                    n = np.diff(np.append(np.flatnonzero(new), len(left))).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), _digests(left[new]), _digests(right[new]), pa.array(n), pa.array(own[new])], names)
                 many = count > CROWD
                 if many.any():
                     row, head = ragged(begins[many], count[many]), np.repeat(begins[many], count[many])
-                    yield pa.RecordBatch.from_arrays([pa.array(entries["key"][row].view(np.int64)), _digests(entries[row]), _digests(entries[head])], ["key", "a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(entries["key"][row].view(np.int64)), _digests(entries[row]), _digests(entries[head]), pa.array(np.ones(len(row), np.int32)), pa.array(needed[row])], names)
 
-    dealt = texts.select("text").mapInArrow(pack, "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(meet, "key long, a binary, b binary")
+    dealt = texts.select("text").mapInArrow(trimmed(pack), "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(trimmed(meet), "key long, a binary, b binary, n int, needed int")
 
 
 def _laid_out(crowds: DataFrame) -> DataFrame:
@@ -354,10 +368,23 @@ def _laid_out(crowds: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([a.take(pa.array(i[apart])), a.take(pa.array(j[apart]))], ["a", "b"])
 
     dealt = crowds.select("key", "a", "of").repartition(partitions(crowds.sparkSession), "key").sortWithinPartitions("key")
-    found = dealt.mapInArrow(lay, "a binary, b binary")
+    found = dealt.mapInArrow(trimmed(lay), "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def settled_crowds(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, a, b) of the rows of crowds of met that are looked at, and (a, needed, n): how many crowds each text is in.
+
+    Similar texts whose signatures in common are all of crowds have `needed` of them, so one is among all but the needed - 1 largest of either text.
+    """
+    crowds = met.where("key IS NOT NULL").select("key", "a", "b", "needed")
+    crowds = crowds.join(crowds.groupBy("key").agg(F.count("*").alias("size")), "key")
+    own = Window.partitionBy("a", "needed")
+    crowds = crowds.select("*", F.count("*").over(own).alias("n"), F.row_number().over(own.orderBy("size", "key")).alias("place"))
+    crowds = materialize(crowds.select("key", "a", "b", "needed", "n", "place"), "copy-all-crowds")
+    return crowds.where("place <= n - needed + 1").select("key", "a", "b"), crowds.where("place = 1").select("a", "needed", "n")
+
+
 def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
     """doc_id, component_id (the smallest doc_id of its group) of every row of docs(doc_id, text): texts link if their sets of shingles have Jaccard similarity `least`.
 
@@ -382,18 +409,22 @@ def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY)
                 yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in use.tolist()], pa.binary()), pa.array(rows, pa.list_(pa.int64()))], ["digest", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    light = materialize(texts.mapInArrow(known, "doc_id long, digest binary"), "copy-digests")
+    light = materialize(texts.mapInArrow(trimmed(known), "doc_id long, digest binary"), "copy-digests")
     met = materialize(copy_meetings(texts, width, least), "copy-meetings")
-    crowds = met.where("key IS NOT NULL")
+    crowds, counted = settled_crowds(met)
+    pairs = met.where("key IS NULL").groupBy("a", "b", "needed").agg(F.sum("n").alias("n"))
+    of = lambda x: counted.select(F.col("a").alias(x), "needed", F.col("n").alias(f"n{x}"))
+    often = pairs.where("n >= needed").select("a", "b")
+    often = often.union(pairs.where("n < needed").join(of("a"), ["a", "needed"]).join(of("b"), ["b", "needed"]).where("n + least(na, nb) >= needed").select("a", "b"))
     firsts = crowds.groupBy("a").agg(F.min("b").alias("b")).where("a <> b")
-    pairs = materialize(met.where("key IS NULL").select("a", "b").union(firsts.select(F.least("a", "b"), F.greatest("a", "b"))).distinct(), "copy-pairs")
+    pairs = materialize(often.union(firsts.select(F.least("a", "b"), F.greatest("a", "b"))).distinct(), "copy-pairs")
     wanted = materialize(pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).union(crowds.select("a")).distinct(), "copy-wanted")
     slot = F.shiftright(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), 32 - MAP_BITS)
     found = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 3).alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(slot & 7 as int))")).alias("bits")).toArrow()
     flags = np.zeros(1 << (MAP_BITS - 3), np.uint8)
     flags[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(flags)
-    held = texts.mapInArrow(sets, "digest binary, shingles array<long>").groupBy("digest").agg(F.first("shingles").alias("shingles")).join(wanted, "digest", "left_semi")
+    held = texts.mapInArrow(trimmed(sets), "digest binary, shingles array<long>").groupBy("digest").agg(F.first("shingles").alias("shingles")).join(wanted, "digest", "left_semi")
     held = materialize(held, "copy-shingles")
     of = lambda x: held.select(F.col("digest").alias(x), F.col("shingles").alias(f"s{x}"))
     common = F.size(F.array_intersect("sa", "sb"))

@@ -45,6 +45,42 @@ def test_similar_sets_have_a_signature_in_common():
     assert found > 1500
 
 
+def test_similar_sets_have_as_many_signatures_in_common_as_needed():
+    rnd, signatures, found = np.random.default_rng(13), simhash.Signatures(0.8), 0
+    for _ in range(2000):
+        n = int(rnd.integers(1, 1500))
+        a = rnd.integers(0, 1 << 48, n, dtype=np.uint64)
+        gone = int(rnd.integers(0, n // 5 + 1))
+        b = np.concatenate([a[gone:], rnd.integers(0, 1 << 48, int(rnd.integers(0, max(1, n // 4 - gone) + 1)), dtype=np.uint64)])
+        if len(b) and jaccard(set(a.tolist()), set(b.tolist())) >= 0.8:
+            found += 1
+            row, keys = signatures.of(np.concatenate([a, b]), np.array([len(a), len(b)]))
+            both = np.array(sorted(set(keys[row == 0].tolist()) & set(keys[row == 1].tolist())), np.uint64)
+            levels, often = np.unique((both & np.uint64(127)).astype(np.int64), return_counts=True)
+            assert (often >= signatures.needed(levels)).any(), (len(a), len(b))
+    assert found > 1000
+
+
+def test_texts_that_share_a_passage_are_no_candidates(spark, monkeypatch):
+    """Candidates would grow with the square of the number of texts; one pair of copies among them is found."""
+    rnd = random.Random(21)
+    word = lambda: rnd.choice(WORDS) + rnd.choice(WORDS)
+    passage = " ".join(word() for _ in range(20))
+    texts = [" ".join(word() for _ in range(75)) + f" {passage} " + " ".join(word() for _ in range(75)) for _ in range(600)]
+    texts.append(texts[0] + " indeed")
+    tables = {}
+
+    def kept(df, label, plain=simhash.materialize):
+        tables[label] = plain(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(simhash, "materialize", kept)
+    found = simhash.copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i % 600 for i in range(601)}
+    laid_out = sum(r["count"] ** 2 for r in tables["copy-crowds"].groupBy("key").count().collect()) if "copy-crowds" in tables else 0
+    assert tables["copy-pairs"].count() + laid_out < 600
+
+
 @pytest.mark.parametrize("crowd", [16, 2])
 def test_copies_in_a_crowd_are_exact(spark, monkeypatch, crowd):
     """Families that lean on one text without being similar to it, in chains: links that a text's nearest or a crowd's first do not show."""
