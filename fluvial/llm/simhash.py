@@ -195,11 +195,11 @@ def as_hex(fp: str = "fp") -> Column:
 
 #: Copies: words of a shingle, and Jaccard similarity of the sets of shingles.
 COPY_WIDTH, SIMILARITY = 5, 0.8
-#: A signature of a text, and 96 bits of the digest of its words.
-ENTRY = np.dtype([("key", "<u8"), ("a", "<u8"), ("b", "<u4")])
+#: A signature of a text in a part, its class, and 96 bits of the digest of the text's words.
+ENTRY = np.dtype([("key", "<u4"), ("level", "u1"), ("a", "<u8"), ("b", "<u4")])
 ENDS, DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")]), 12
 #: Bits of a signature that say its class.
-LEVEL_BITS = np.uint64(7)
+LEVEL_BITS, LEVEL = np.uint64(7), np.uint64(127)
 #: Texts of a signature over which they are first linked to one of them, and all pairs laid out only for those that are then still apart.
 CROWD = 16
 #: Pairs laid out at once.
@@ -304,7 +304,7 @@ def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMI
     A pair has n signatures in common, here and in other rows of the same `needed`; similar texts have so many, or are in a crowd together. The signatures go to their parts as packed arrays, straight from the texts: they are never laid down as a table.
     """
     spark = texts.sparkSession
-    parts = 4 * partitions(spark)
+    parts = partitions(spark)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures = Signatures(least)
@@ -313,10 +313,11 @@ def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMI
                 digests, hashes, n = shingle_sets(some, width)
                 row, keys = signatures.of(hashes, n)
                 ends = np.frombuffer(b"".join(digests), ENDS)
-                part = (keys >> np.uint64(32)) % np.uint64(parts)
+                part = mixed(keys, 4) % np.uint64(parts)
                 order = np.argsort(part, kind="stable")
                 part, row, out = part[order].astype(np.int32), row[order], np.empty(len(keys), ENTRY)
-                out["key"], out["a"], out["b"] = keys[order], ends["a"][row], ends["b"][row]
+                out["key"], out["level"] = keys[order] >> LEVEL_BITS & np.uint64(0xFFFFFFFF), keys[order] & LEVEL
+                out["a"], out["b"] = ends["a"][row], ends["b"][row]
                 cuts = np.flatnonzero(np.diff(part, prepend=-1))
                 if len(cuts):
                     yield pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array([x.tobytes() for x in np.split(out, cuts[1:])], pa.binary())], ["part", "entries"])
@@ -326,20 +327,21 @@ def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMI
         for batch, starts, sizes in sorted_groups(batches, "part"):
             for s, n in zip(starts.tolist(), sizes.tolist(), strict=True):
                 entries = np.frombuffer(b"".join(batch.column("entries").slice(s, n).to_pylist()), ENTRY)
-                keys = entries["key"].copy()
+                keys = entries["key"].astype(np.uint64) << np.uint64(8) | entries["level"]
                 order = np.argsort(keys)
                 same = np.diff(keys[order]) == 0
                 entries = entries[order[np.append(same, False) | np.insert(same, 0, False)]]
-                entries = entries[np.lexsort((entries["b"], entries["a"], entries["key"]))]
+                entries = entries[np.lexsort((entries["b"], entries["a"], entries["level"], entries["key"]))]
                 new = np.ones(len(entries), bool)
                 new[1:] = entries[1:] != entries[:-1]
                 entries = entries[new]
                 if not len(entries):
                     continue
-                begins = np.concatenate(([0], np.flatnonzero(np.diff(entries["key"])) + 1))
+                keys = entries["key"].astype(np.int64) << 8 | entries["level"] | batch.column("part")[s].as_py() << 40
+                begins = np.concatenate(([0], np.flatnonzero(np.diff(keys)) + 1))
                 count = np.diff(np.append(begins, len(entries)))
                 few = (count > 1) & (count <= CROWD)
-                needed = signatures.needed((entries["key"] & np.uint64((1 << int(LEVEL_BITS)) - 1)).astype(np.int64)).astype(np.int32)
+                needed = signatures.needed(entries["level"].astype(np.int64)).astype(np.int32)
                 for i, j in _all_pairs(begins[few], count[few]):
                     order = np.lexsort((needed[i], entries["a"][j], entries["a"][i]))
                     left, right, own = _ends(entries[i[order]]), _ends(entries[j[order]]), needed[i[order]]
@@ -350,7 +352,7 @@ def copy_meetings(texts: DataFrame, width: int = COPY_WIDTH, least: float = SIMI
                 many = count > CROWD
                 if many.any():
                     row, head = ragged(begins[many], count[many]), np.repeat(begins[many], count[many])
-                    yield pa.RecordBatch.from_arrays([pa.array(entries["key"][row].view(np.int64)), _digests(entries[row]), _digests(entries[head]), pa.array(np.ones(len(row), np.int32)), pa.array(needed[row])], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[row]), _digests(entries[row]), _digests(entries[head]), pa.array(np.ones(len(row), np.int32)), pa.array(needed[row])], names)
 
     dealt = texts.select("text").mapInArrow(trimmed(pack), "part int, entries binary").repartition(partitions(spark), "part").sortWithinPartitions("part")
     return dealt.mapInArrow(trimmed(meet), "key long, a binary, b binary, n int, needed int")
@@ -458,9 +460,11 @@ def copies(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY)
 def keep_one(docs: DataFrame, width: int = COPY_WIDTH, least: float = SIMILARITY) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its group of copies; rows that share an id are one document and stay together."""
 
-    def firsts() -> DataFrame:
+    def others() -> DataFrame:
         found = copies(docs, width, least)
-        return found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("nd_id")).distinct()
+        first = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        return found.groupBy("doc_id").agg(first.alias("first")).where("NOT first").select(F.col("doc_id").alias("nd_id"))
 
-    kept = settled(firsts, "copies-kept")
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["nd_id"]), "left_semi")
+    # Those that go are few as a rule, so the texts need not be dealt out to be joined.
+    gone = settled(others, "copies-gone")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["nd_id"]), "left_anti")

@@ -46,3 +46,19 @@ def test_shuffle_files_go_with_the_table_that_needed_them(spark, docs):
         time.sleep(0.2)
     assert not shuffle_files(spark) - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_texts_are_not_dealt_out_to_drop_a_few_copies(spark):
+    """Many documents, few copies: the ids that stay are too many to be sent to every task, those that go are not."""
+    n = 30_000
+    rows = spark.range(n).selectExpr("id AS doc_id", "concat_ws(' ', id, id * 7, id * 11, id * 13, id * 17, id * 19) AS text")
+    docs = materialize(rows.unionAll(rows.where("doc_id < 3").selectExpr(f"doc_id + {n}", "text")), "many")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        out = simhash.keep_one(docs)
+        assert out.count() == n
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan
