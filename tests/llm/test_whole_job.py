@@ -173,3 +173,53 @@ def test_lines_that_cannot_be_similar_are_not_compared_as_texts(monkeypatch):
     left, right = comparison.run(pa.RecordBatch.from_pydict(columns), np.array([0]), np.array([7]))
     assert (left, right) == ([0], [6])
     assert met == [(texts[0], texts[6])]
+
+
+def changed_lines(rnd, n, longest):
+    lines = []
+    for _ in range(n):
+        letters = rnd.choice(["ab ", "abcdefgh ijk", "abcé日本x\x01\x02"])
+        a = "".join(rnd.choice(letters) for _ in range(rnd.randrange(1, longest)))
+        b = list(a)
+        for _ in range(int(rnd.choice([0.1, 0.2, 0.25, 0.3]) * len(a))):
+            k = rnd.randrange(len(b) + 1)
+            b[k : k + rnd.randrange(2)] = rnd.choice(["", "x", "a"])
+        lines.append((a, "".join(b)))
+    return lines
+
+
+def test_pairs_are_judged_by_arrays_as_one_by_one(monkeypatch):
+    lines = changed_lines(random.Random(21), 3_000, 220)
+    want = [line_dedup.similar(a, b) for a, b in lines]
+    plain, alone = line_dedup.similar, []
+    monkeypatch.setattr(line_dedup, "similar", lambda a, b, least: alone.append((a, b)) or plain(a, b, least))
+    assert 500 < sum(want) < 2_900
+    assert line_dedup.all_similar(*zip(*lines, strict=True)).tolist() == want
+    assert all(max(map(len, x)) < 5 or max(map(len, x)) * 0.2 >= 32 or not all(c in "abcdefghijkx " for c in "".join(x)) for x in alone)
+
+
+def test_a_large_meeting_of_unlike_lines_compares_few_texts(monkeypatch):
+    """A meeting of 900 short lines, some with a near copy: all links are found, and hardly another pair's texts are compared."""
+    rnd = random.Random(22)
+    texts = [" ".join(rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(rnd.randrange(5, 9))) for _ in range(600)]
+    texts += [t[:-1] + "q" for t in texts[:300]]
+    want, n = set(), len(texts)
+    for i in range(n):
+        for j in range(i + 1, n):
+            if abs(len(texts[i]) - len(texts[j])) <= 12 and len(set(texts[i].split()) & set(texts[j].split())) > 1 and line_dedup.similar(texts[i], texts[j]):
+                want.add((i, j))
+    plan = line_dedup.Plan.of(n)
+    sims = pa.array([b"\0" * 8 * plan.words] * n, pa.binary())
+    batch = pa.RecordBatch.from_pydict({"id": list(range(n)), "of": list(range(n)), "meeting": [plan.blocks << 48] * n, "by_words": sims, "by_chars": sims, "line": texts})
+    compared = []
+    monkeypatch.setattr(line_dedup, "all_similar", lambda a, b, least, plain=line_dedup.all_similar: compared.append(len(a)) or plain(a, b, least))
+    left, right = line_dedup.Comparison(line_dedup.Kinds(plan, plan, 1), 0.8).run(batch, np.array([0]), np.array([n]))
+    joined = line_dedup.Joined()
+    for a, b in want:
+        joined[joined.head(b)] = joined.head(a)
+    found = line_dedup.Joined()
+    for a, b in zip(left, right, strict=True):
+        found[found.head(b)] = found.head(a)
+    assert len(want) >= 300 and all(found.head(a) == found.head(b) for a, b in want)
+    assert all(joined.head(a) == joined.head(b) for a, b in zip(left, right, strict=True))
+    assert sum(compared) < n * n // 100
